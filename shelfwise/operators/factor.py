@@ -82,9 +82,9 @@ class WideSvd:
     s: np.ndarray
 
 
-def _slices(entries: DataFrame, key: str, out: str) -> DataFrame:
-    sizes = entries.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_SLICE).cast("int").alias(out))
-    return entries.join(sizes, key)
+def _slices(entries: DataFrame, key: str) -> DataFrame:
+    """``(key, n_key)``: into how many slices the entries of each key are cut."""
+    return entries.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_SLICE).cast("int").alias(f"n_{key}"))
 
 
 def _times(entries: DataFrame, factors: DataFrame, by: str, to: str, width: int) -> DataFrame:
@@ -145,35 +145,35 @@ def wide_svd(
     spark = entries.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     width = k + oversample
-    base = _slices(_slices(entries.select("row", "col", "w"), "col", "n_col"), "row", "n_row").select(
-        "row", "col", "w", "n_row", "n_col",
-        F.pmod(F.xxhash64("col"), F.col("n_row")).cast("int").alias("slice_row"),
-        F.pmod(F.xxhash64("row"), F.col("n_col")).cast("int").alias("slice_col"),
+    columns = _slices(entries, "col")
+    by_col = (
+        entries.select("row", "col", "w").join(columns, "col").join(_slices(entries, "row"), "row")
+        .withColumn("slice_row", F.pmod(F.xxhash64("col"), F.col("n_row")).cast("int"))
+        .withColumn("slice_col", F.pmod(F.xxhash64("row"), F.col("n_col")).cast("int"))
+        .repartition(partitions, "col", "slice_col")
+        .persist()
     )
-    by_col = base.drop("n_col", "slice_row").repartition(partitions, "col", "slice_col").persist()
-    by_row = base.drop("n_row", "slice_col").repartition(partitions, "row", "slice_row").persist()
+    by_row = by_col.repartition(partitions, "row", "slice_row").persist()
     try:
+        bits = F.xxhash64("col", F.lit(seed))
         signs = [
-            F.when(F.shiftright(F.xxhash64("col", F.lit(seed)), j).bitwiseAND(F.lit(1)) == 1, 1.0).otherwise(-1.0).alias(f"f{j}")
+            F.when(F.shiftright(bits, j).bitwiseAND(F.lit(1)) == 1, 1.0).otherwise(-1.0).alias(f"f{j}")
             for j in range(width)
         ]
-        start = base.select("col", "n_col").distinct().select("col", "n_col", *signs)
-        right = durable(_combine(start, _orthonormal(_gram(start, width)), "col", "n_col"))
-        size = len(right.columns) - 2
+        image, size = durable(columns.select("col", "n_col", *signs)), width
         before = np.zeros(k)
-        for _ in range(rounds):
+        for step in range(rounds + 1):
+            right = _combine(image, _orthonormal(_gram(image, size)), "col", "n_col")
+            size = len(right.columns) - 2
             left = durable(_times(by_col, right, "col", "row", size))
-            leading = np.sqrt(np.maximum(np.sort(np.linalg.eigvalsh(_gram(left, size)))[::-1][:k], 0.0))
-            if leading.size == before.size and np.all(np.abs(leading - before) <= tolerance * leading[0]):
+            values, vectors = np.linalg.eigh(_gram(left, size))
+            values, vectors = np.maximum(values[::-1][:k], 0.0), vectors[:, ::-1][:, :k]
+            s = np.sqrt(values)
+            settled = s.size == before.size and np.all(np.abs(s - before) <= tolerance * s[0])
+            if settled or step == rounds:
                 break
-            before = leading
+            before = s
             image = durable(_times(by_row, left, "row", "col", size))
-            right = durable(_combine(image, _orthonormal(_gram(image, size)), "col", "n_col"))
-            size = len(right.columns) - 2
-        left = durable(_times(by_col, right, "col", "row", size))
-        values, vectors = np.linalg.eigh(_gram(left, size))
-        values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
-        s = np.sqrt(np.maximum(values, 0.0))
         keep = s > NOISE * s[0]
         s, vectors = s[keep], vectors[:, keep]
 

@@ -12,6 +12,7 @@ for _module in (
     "feature_queries",
     "text_queries",
     "telemetry_queries",
+    "model_queries",
 ):
     import_module(f"shelfwise.plans.{_module}")
 
