@@ -1,19 +1,31 @@
-"""Matrix factors: PCA and SVD of tables."""
+"""Matrix factors: PCA and SVD of tables.
+
+Three ways to an SVD, chosen by the number of columns:
+
+* up to ``GRAM_COLUMNS``: Spark adds up the Gram matrix over the executors, the driver solves that
+  one bounded matrix, and the whole spectrum is exact;
+* up to ``LANCZOS_COLUMNS``: Spark's ``computeSVD``, whose driver state is a few vectors of that
+  length;
+* beyond: block power iteration on tables, where only matrices of a dozen columns reach the driver.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA, PCAModel
+import pandas as pd
+from pyspark.ml.feature import PCA, CountVectorizerModel, PCAModel
 from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.ids import dense_index
 from shelfwise.session import durable
 
-MAX_COLUMNS = 4096  # widest table whose column-by-column Gram matrix may reach the driver
+GRAM_COLUMNS = 4096
+LANCZOS_COLUMNS = 65_535
 ROWS_PER_SLICE = 100_000  # entries of one hot row or column that may meet in one task
 NOISE = 1e-6  # singular values below this share of the first are rounding noise
 
@@ -26,13 +38,13 @@ def pca(df: DataFrame, vector: str, k: int, out: str = "components") -> tuple[Da
 
 @dataclass
 class NarrowSvd:
-    """SVD of a table of short vectors: singular values and the ``columns x k`` matrix V."""
+    """SVD of a table of bounded width: singular values and the ``columns x k`` matrix V."""
 
     s: np.ndarray
     v: np.ndarray
 
     def scores(self, vector: Column) -> Column:
-        """Row of U.S for a row vector (array): its products with the columns of V."""
+        """Row of U.S for a dense row (array): its products with the columns of V."""
         return F.array(
             *(
                 F.aggregate(
@@ -46,20 +58,23 @@ class NarrowSvd:
 
 
 def narrow_svd(df: DataFrame, key: str, vector: str, k: int) -> NarrowSvd:
-    """SVD of ``(key, vector)`` rows with at most ``MAX_COLUMNS`` columns.
-
-    Spark adds up the Gram matrix over the executors; only that bounded matrix is solved on the
-    driver. Wider tables go to :func:`wide_svd`.
-    """
-    rows = MLUtils.convertVectorColumnsFromML(df.select(F.col(key).cast("long"), vector), vector)
-    matrix = IndexedRowMatrix(rows)
-    width = matrix.numCols()
-    if width > MAX_COLUMNS:
-        raise ValueError(f"{width} columns; use wide_svd on (row, column, weight) entries")
-    found = matrix.computeSVD(min(k, width), computeU=False)
-    s = found.s.toArray()
+    """Leading ``k`` singular values and right vectors of ``(key, vector)`` rows."""
+    rows = MLUtils.convertVectorColumnsFromML(df.select(F.col(key).cast("long"), vector), vector).persist()
+    try:
+        matrix = IndexedRowMatrix(rows)
+        width = matrix.numCols()
+        if width > LANCZOS_COLUMNS:
+            raise ValueError(f"{width} columns; use wide_svd on (row, column, weight) entries")
+        if width <= GRAM_COLUMNS:
+            values, vectors = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
+            s, v = np.sqrt(np.maximum(values[::-1][:k], 0.0)), vectors[:, ::-1][:, :k]
+        else:
+            found = matrix.computeSVD(k, computeU=False)
+            s, v = found.s.toArray(), found.V.toArray()
+    finally:
+        rows.unpersist()
     keep = s > NOISE * s[0]
-    return NarrowSvd(s[keep], found.V.toArray()[:, keep])
+    return NarrowSvd(s[keep], v[:, keep])
 
 
 def energy(s: np.ndarray, total: float) -> np.ndarray:
@@ -74,12 +89,35 @@ def rank_for(s: np.ndarray, total: float, share: float = 0.95) -> int | None:
 
 
 @dataclass
-class WideSvd:
+class TableSvd:
     """Truncated SVD of a sparse table: ``rows`` holds U.S and ``columns`` V.S as ``(key, v)``."""
 
     rows: DataFrame
     columns: DataFrame
     s: np.ndarray
+    settled: bool = True
+
+
+def _packed(factors: DataFrame, key: str, width: int) -> DataFrame:
+    return factors.select(key, F.array(*(f"f{j}" for j in range(width))).alias("v"))
+
+
+def pair_svd(pairs: DataFrame, k: int) -> TableSvd:
+    """SVD of the 0/1 matrix of distinct ``(row, col)`` pairs by the way its width allows."""
+    index = dense_index(pairs, "col", "ix")
+    width = index.count()
+    if width > LANCZOS_COLUMNS:
+        return wide_svd(pairs.withColumn("w", F.lit(1.0)), k)
+    # A row holds at most ``width`` distinct columns, so collecting its column numbers is bounded.
+    held = pairs.join(index, "col").groupBy("row").agg(F.collect_list(F.col("ix").cast("string")).alias("held"))
+    vectorizer = CountVectorizerModel.from_vocabulary([str(j) for j in range(width)], "held", "vector")
+    found = narrow_svd(vectorizer.setBinary(True).transform(held), "row", "vector", k)
+    size = len(found.s)
+    table = pd.DataFrame(found.v, columns=[f"f{j}" for j in range(size)]).assign(ix=range(width))
+    right = index.join(pairs.sparkSession.createDataFrame(table), "ix").drop("ix")
+    left = pairs.join(right, "col").groupBy("row").agg(*(F.expr(f"sum(f{j}) AS f{j}") for j in range(size)))
+    scaled = right.select("col", *(F.expr(f"f{j} * {float(s)!r}D AS f{j}") for j, s in enumerate(found.s)))
+    return TableSvd(rows=_packed(left, "row", size), columns=_packed(scaled, "col", size), s=found.s)
 
 
 def _slices(entries: DataFrame, key: str) -> DataFrame:
@@ -93,17 +131,16 @@ def _times(entries: DataFrame, factors: DataFrame, by: str, to: str, width: int)
     ``factors`` is ``(by, n_by, f0..)``. A key with many entries lies in ``n_by`` slices; its factor
     row is repeated once per slice.
     """
-    n = f"n_{by}"
-    sliced = factors.withColumn(f"slice_{by}", F.explode(F.sequence(F.lit(0), F.col(n) - 1))).drop(n)
+    sliced = factors.withColumn(f"slice_{by}", F.expr(f"explode(sequence(0, n_{by} - 1))")).drop(f"n_{by}")
     products = entries.join(sliced, [by, f"slice_{by}"])
-    sums = [F.sum(F.col("w") * F.col(f"f{j}")).alias(f"f{j}") for j in range(width)]
+    sums = [F.expr(f"sum(w * f{j}) AS f{j}") for j in range(width)]
     return products.groupBy(to).agg(F.max(f"n_{to}").alias(f"n_{to}"), *sums)
 
 
 def _gram(factors: DataFrame, width: int) -> np.ndarray:
     """The ``width x width`` matrix of column products, one small row to the driver."""
     cells = [(a, b) for a in range(width) for b in range(a, width)]
-    row = factors.agg(*(F.sum(F.col(f"f{a}") * F.col(f"f{b}")).alias(f"g{a}_{b}") for a, b in cells)).first()
+    row = factors.agg(*(F.expr(f"sum(f{a} * f{b})") for a, b in cells)).first()
     gram = np.zeros((width, width))
     for (a, b), value in zip(cells, row):
         gram[a, b] = gram[b, a] = value or 0.0
@@ -112,11 +149,10 @@ def _gram(factors: DataFrame, width: int) -> np.ndarray:
 
 def _combine(factors: DataFrame, matrix: np.ndarray, *keep: str) -> DataFrame:
     """Replace ``f0..`` by their linear combinations with the columns of a small matrix."""
-    mixed = []
-    for j in range(matrix.shape[1]):
-        parts = [F.col(f"f{i}") * float(matrix[i, j]) for i in range(matrix.shape[0])]
-        mixed.append(sum(parts[1:], parts[0]).alias(f"f{j}"))
-    return factors.select(*keep, *mixed)
+    mixed = [
+        " + ".join(f"f{i} * {float(x)!r}D" for i, x in enumerate(column)) + f" AS f{j}" for j, column in enumerate(matrix.T)
+    ]
+    return factors.selectExpr(*keep, *mixed)
 
 
 def _orthonormal(gram: np.ndarray) -> np.ndarray:
@@ -130,17 +166,18 @@ def wide_svd(
     entries: DataFrame,
     k: int,
     oversample: int = 8,
-    rounds: int = 8,
+    rounds: int = 30,
     tolerance: float = 1e-6,
     seed: int = 42,
     partitions: int | None = None,
-) -> WideSvd:
+) -> TableSvd:
     """Leading ``k`` singular factors of sparse ``(row, col, w)`` entries by block power iteration.
 
-    Both dimensions may be of any length: factors stay tables, and each half step is one join and
-    one grouped sum. Only ``(k + oversample)``-square Gram matrices reach the driver. The entries
-    are laid out once by column slice and once by row slice and reused every round, so a round
-    shuffles factor rows, not entries. Stops when the leading values settle or after ``rounds``.
+    Both dimensions may be of any length: factors stay tables, and each half round is one join and
+    one grouped sum. The entries are laid out once by column slice and once by row slice and reused
+    every round, so a round shuffles factor rows, not entries. It stops when the values change by
+    less than ``tolerance`` of the first, or after ``rounds`` with ``settled`` false: values that
+    lie close together then still carry an error.
     """
     spark = entries.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -155,12 +192,8 @@ def wide_svd(
     )
     by_row = by_col.repartition(partitions, "row", "slice_row").persist()
     try:
-        bits = F.xxhash64("col", F.lit(seed))
-        signs = [
-            F.when(F.shiftright(bits, j).bitwiseAND(F.lit(1)) == 1, 1.0).otherwise(-1.0).alias(f"f{j}")
-            for j in range(width)
-        ]
-        image, size = durable(columns.select("col", "n_col", *signs)), width
+        signs = [f"IF((shiftright(xxhash64(col, {seed}), {j}) & 1) = 1, 1D, -1D) AS f{j}" for j in range(width)]
+        image, size = durable(columns.selectExpr("col", "n_col", *signs)), width
         before = np.zeros(k)
         for step in range(rounds + 1):
             right = _combine(image, _orthonormal(_gram(image, size)), "col", "n_col")
@@ -169,22 +202,19 @@ def wide_svd(
             values, vectors = np.linalg.eigh(_gram(left, size))
             values, vectors = np.maximum(values[::-1][:k], 0.0), vectors[:, ::-1][:, :k]
             s = np.sqrt(values)
-            settled = s.size == before.size and np.all(np.abs(s - before) <= tolerance * s[0])
+            settled = s.size == before.size and bool(np.all(np.abs(s - before) <= tolerance * s[0]))
             if settled or step == rounds:
                 break
             before = s
             image = durable(_times(by_row, left, "row", "col", size))
         keep = s > NOISE * s[0]
         s, vectors = s[keep], vectors[:, keep]
-
-        def packed(factors: DataFrame, key: str) -> DataFrame:
-            return factors.select(key, F.array(*(f"f{j}" for j in range(len(s)))).alias("v"))
-
-        return WideSvd(
-            rows=packed(_combine(left, vectors, "row"), "row"),
-            columns=packed(_combine(right, vectors * s, "col"), "col"),
+        return TableSvd(
+            rows=_packed(_combine(left, vectors, "row"), "row", len(s)),
+            columns=_packed(_combine(right, vectors * s, "col"), "col", len(s)),
             s=s,
+            settled=settled,
         )
     finally:
-        by_col.unpersist()
         by_row.unpersist()
+        by_col.unpersist()

@@ -24,9 +24,9 @@ def _embeddings(t):
     return feat.as_vector(t.embeddings, "embedding").select("vec_id", "features", "label")
 
 
-def _matrix(t):
-    """Sparse user-item entries with weight 1."""
-    return rel.order_pairs(t.orders, t.lineitem).select(F.col("u").alias("row"), F.col("i").alias("col"), F.lit(1.0).alias("w"))
+def _svd(t):
+    """Five factors of the 0/1 user-item matrix."""
+    return factor.pair_svd(rel.order_pairs(t.orders, t.lineitem).select(F.col("u").alias("row"), F.col("i").alias("col")), 5)
 
 
 def _labelled_text(t):
@@ -265,12 +265,12 @@ def svd_energy(t):
 
 @query("rec_svd_items")
 def rec_svd_items(t):
-    items = factor.wide_svd(_matrix(t), 5).columns.withColumnRenamed("col", "i")
+    items = _svd(t).columns.withColumnRenamed("col", "i")
     return recommend.factor_top(items, rel.order_pairs(t.orders, t.lineitem), TARGET)
 
 
 @query("rec_unseen_per_user")
 def rec_unseen_per_user(t):
-    found = factor.wide_svd(_matrix(t), 5)
+    found = _svd(t)
     users, items = found.rows.withColumnRenamed("row", "u"), found.columns.withColumnRenamed("col", "i")
     return blocks.unseen_top(users, items, rel.order_pairs(t.orders, t.lineitem))
