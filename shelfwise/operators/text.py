@@ -75,9 +75,11 @@ def document_terms(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame
 def vocabulary(counts: DataFrame, min_documents: int = 1) -> DataFrame:
     """``(term, df, cf)``: documents and occurrences per term, rare terms left out.
 
-    ``counts`` are document terms, so a term's rows are added up on the map side first.
+    ``counts`` are document terms, so a term's rows are added up on the map side first. Testing
+    ``n`` keeps the column alive, and with it the same shuffle as the counts themselves: Spark
+    reuses that one instead of tokenizing the corpus twice.
     """
-    totals = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("cf"))
+    totals = counts.groupBy("term").agg(F.count_if(F.col("n") > 0).alias("df"), F.sum("n").alias("cf"))
     return totals.where(F.col("df") >= min_documents)
 
 

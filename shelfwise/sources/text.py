@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_LEGACY_CHARSETS = "spark.sql.legacy.javaCharsets"
-
-
-@contextmanager
-def _any_charset(spark: SparkSession):
-    """Spark accepts only a few charset names unless this setting is on; switch it on briefly."""
-    before = spark.conf.get(_LEGACY_CHARSETS, "false")
-    spark.conf.set(_LEGACY_CHARSETS, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_LEGACY_CHARSETS, before)
+# Charset names Spark accepts as they are.
+_PLAIN_CHARSETS = {"utf-8", "utf-16", "utf-16be", "utf-16le", "utf-32", "iso-8859-1", "us-ascii"}
 
 
 def read_csv(
@@ -27,14 +15,12 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a given schema, so no pass over the data is spent on inference.
 
-    For a charset such as ``gbk`` the reader is bound while the setting is on, and the plan keeps
-    its own copy of the options.
+    For another charset, such as ``gbk``, Spark wants a setting that admits it. Spark looks at it
+    again when the query runs, so it stays on for the session.
     """
-    reader = spark.read.schema(schema).option("header", header).option("encoding", charset)
-    if charset.upper().replace("-", "") in {"UTF8", "UTF16", "UTF16BE", "UTF16LE", "UTF32", "ISO88591", "USASCII"}:
-        return reader.csv(path)
-    with _any_charset(spark):
-        return reader.csv(path)
+    if charset.lower() not in _PLAIN_CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    return spark.read.schema(schema).option("header", header).option("encoding", charset).csv(path)
 
 
 def read_libsvm(spark: SparkSession, path: str, features: int) -> DataFrame:
