@@ -104,6 +104,7 @@ def _packed(factors: DataFrame, key: str, width: int) -> DataFrame:
 
 def pair_svd(pairs: DataFrame, k: int) -> TableSvd:
     """SVD of the 0/1 matrix of distinct ``(row, col)`` pairs by the way its width allows."""
+    pairs = durable(pairs)
     index = dense_index(pairs, "col", "ix")
     width = index.count()
     if width > LANCZOS_COLUMNS:
@@ -182,6 +183,7 @@ def wide_svd(
     spark = entries.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     width = k + oversample
+    entries = durable(entries)
     columns = _slices(entries, "col")
     by_col = (
         entries.select("row", "col", "w").join(columns, "col").join(_slices(entries, "row"), "row")

@@ -43,7 +43,11 @@ def dense_index(df: DataFrame, column: str, index: str) -> DataFrame:
 
 
 def index_pairs(pairs: DataFrame) -> DataFrame:
-    """``(u, i, u_ix, i_ix, label)`` with the label ``u_ix:i_ix``."""
+    """``(u, i, u_ix, i_ix, label)`` with the label ``u_ix:i_ix``.
+
+    The pairs are read three times, so they are computed once and kept in the checkpoint folder.
+    """
+    pairs = durable(pairs)
     users = dense_index(pairs, "u", "u_ix")
     items = dense_index(pairs, "i", "i_ix")
     return (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import r6
-from shelfwise.operators.relational import drop_keys, items_of, keep_keys, ranked, top_k
+from shelfwise.operators.relational import drop_keys, few, items_of, keep_keys, ranked, top_k
 from shelfwise.operators.similarity import corated_cosine, cosine_from_counts, mean_cosine, shared_with_target
 
 
@@ -31,7 +31,7 @@ def content_top(
     ``features`` is ``(i, v)`` with dense arrays.
     """
     mine = items_of(pairs, target)
-    near = copurchase_users(pairs, target, peers).select(F.col("user_id").alias("u"))
+    near = few(copurchase_users(pairs, target, peers).select(F.col("user_id").alias("u")))
     candidates = drop_keys(keep_keys(pairs, near, "u").select("i").distinct(), mine, "i")
     scored = mean_cosine(keep_keys(features, candidates, "i"), keep_keys(features, mine, "i"), "v")
     return _best(scored, "i", "item_id", k)

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import durable
+
 CHUNK = 1024
+FEW = 100_000
 
 
 def _chunk_of(size: int) -> Column:
@@ -46,9 +49,23 @@ def ratings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     return purchases(orders, lineitem).groupBy("u", "i").agg(F.sum("q").alias("w"))
 
 
+def few(rows: DataFrame, bound: int | None = None) -> DataFrame:
+    """Compute a side input once, and let Spark know when it is small.
+
+    Up to ``bound`` rows come back as a local table of known size. Spark then broadcasts it and
+    pushes existence tests on it below the distinct and the order join, down to the scans. More
+    rows than that stay distributed in the checkpoint folder and are joined by shuffle.
+    """
+    bound = FEW if bound is None else bound
+    table = rows.limit(bound + 1).toArrow()
+    if table.num_rows <= bound:
+        return rows.sparkSession.createDataFrame(table, rows.schema)
+    return durable(rows)
+
+
 def items_of(pairs: DataFrame, user: int) -> DataFrame:
     """Distinct items of one user."""
-    return pairs.where(F.col("u") == user).select("i").distinct()
+    return few(pairs.where(F.col("u") == user).select("i").distinct())
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:

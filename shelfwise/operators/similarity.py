@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.arrays import dot, unit
-from shelfwise.operators.relational import items_of, keep_keys
+from shelfwise.operators.relational import few, items_of, keep_keys
 
 SALTS = 8
 
@@ -54,10 +54,10 @@ def mean_item_cosine(pairs: DataFrame, target: int) -> DataFrame:
     Item vectors are the 0/1 columns of the user-item table. The target's unit item vectors are
     summed into one weight per user, so two grouped sums replace the candidate-by-target table.
     """
-    sizes = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
     mine = items_of(pairs, target)
     n_target = mine.agg(F.count(F.lit(1))).scalar()
-    held = keep_keys(sizes, mine, "i").select("i", (1.0 / F.sqrt("n")).alias("share"))
+    sizes = keep_keys(pairs, mine, "i").groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    held = few(sizes.select("i", (1.0 / F.sqrt("n")).alias("share")))
     weights = pairs.join(held, "i").groupBy("u").agg(F.sum("share").alias("p"))
     scores = pairs.join(weights, "u", "left").groupBy("i").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("p", F.lit(0.0))).alias("s")
@@ -80,7 +80,7 @@ def shared_with_target(pairs: DataFrame, target: int) -> DataFrame:
 def multiset_overlap(lines: DataFrame, target: int) -> DataFrame:
     """``(u, n_lines, n_shared, n_target)`` with repeats counted: shared = sum of lesser counts."""
     counted = lines.groupBy("u", "i").agg(F.count(F.lit(1)).alias("n"))
-    mine = counted.where(F.col("u") == target).select("i", F.col("n").alias("m"))
+    mine = few(counted.where(F.col("u") == target).select("i", F.col("n").alias("m")))
     n_target = mine.agg(F.sum("m")).scalar()
     return counted.join(mine, "i", "left").groupBy("u").agg(
         F.sum("n").alias("n_lines"),

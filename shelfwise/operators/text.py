@@ -54,8 +54,13 @@ def ngrams(df: DataFrame, n: int = 2, tokens: str = "tokens", out: str = "grams"
 
 
 def terms(df: DataFrame, tokens: str = "tokens", key: str | None = None) -> DataFrame:
-    """One row per token occurrence."""
-    return df.select(*([key] if key else []), F.explode(tokens).alias("term"))
+    """One row per token occurrence.
+
+    The outer form keeps Spark from adding an emptiness filter that would tokenize every text
+    again; the null row of an empty text is dropped right after.
+    """
+    rows = df.select(*([key] if key else []), F.explode_outer(tokens).alias("term"))
+    return rows.where(F.col("term").isNotNull())
 
 
 def term_counts(occurrences: DataFrame) -> DataFrame:

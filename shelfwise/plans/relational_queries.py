@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.scalars import day, flag, number_or, r6
 from shelfwise.operators import ids, relational as rel
 from shelfwise.plans.registry import TARGET, query
+from shelfwise.session import durable
 from shelfwise.sources.tables import latest
 from shelfwise.sources.text import as_json, parse_delimited, parse_json
 
@@ -215,7 +216,7 @@ def user_item_pivot(t):
     """,
 )
 def user_item_vector(t):
-    pairs = _ui(t)
+    pairs = durable(_ui(t))
     index = ids.dense_index(pairs, "i", "pos")
     return pairs.join(index, "i").select("u", "pos", F.lit(1.0).alias("value"))
 

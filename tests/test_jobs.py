@@ -32,6 +32,12 @@ def pairs():
     return skewed()
 
 
+@pytest.fixture(params=[100_000, 3], ids=["few", "many"])
+def side(request, monkeypatch):
+    """Side inputs once as small local tables and once beyond the bound."""
+    monkeypatch.setattr(rel, "FEW", request.param)
+
+
 @pytest.fixture(scope="module")
 def table(spark, pairs):
     return spark.createDataFrame(pairs, "u long, i long").repartition(5)
@@ -44,21 +50,21 @@ def sets_of(pairs, by=0):
     return held
 
 
-def test_copurchase(table, pairs):
+def test_copurchase(table, pairs, side):
     held = sets_of(pairs)
     want = sorted(((u, len(held[u] & held[8])) for u in held if u != 8), key=lambda x: (-x[1], x[0]))[:10]
     assert [tuple(r) for r in recommend.copurchase_users(table, 8).collect()] == [x for x in want if x[1]]
 
 
 @pytest.mark.parametrize("target", [3, 8])
-def test_shared_sets(table, pairs, target):
+def test_shared_sets(table, pairs, target, side):
     held = sets_of(pairs)
     for r in sim.shared_with_target(table, target).collect():
         assert (r["n_items"], r["n_shared"], r["n_target"]) == (len(held[r["u"]]), len(held[r["u"]] & held[target]), len(held[target]))
 
 
 @pytest.mark.parametrize("target", [3, 8])
-def test_mean_item_cosine(table, pairs, target):
+def test_mean_item_cosine(table, pairs, target, side):
     held, buyers = sets_of(pairs), sets_of(pairs, 1)
     mine = held[target]
     want = {
@@ -71,7 +77,7 @@ def test_mean_item_cosine(table, pairs, target):
 
 @pytest.mark.parametrize("salts", [1, 8])
 @pytest.mark.parametrize("target", [3, 8])
-def test_item_cosine(table, pairs, target, salts):
+def test_item_cosine(table, pairs, target, salts, side):
     held, buyers = sets_of(pairs), sets_of(pairs, 1)
     want = {
         (a, b): len(buyers[a] & buyers[b]) / math.sqrt(len(buyers[a]) * len(buyers[b]))
@@ -81,7 +87,7 @@ def test_item_cosine(table, pairs, target, salts):
     assert got == pytest.approx(want)
 
 
-def test_neighbourhood(spark, pairs):
+def test_neighbourhood(spark, pairs, side):
     rng = random.Random(1)
     w = {p: float(rng.randint(1, 9)) for p in pairs}
     weighted = spark.createDataFrame([(u, i, x) for (u, i), x in w.items()], "u long, i long, w double")
@@ -100,7 +106,7 @@ def test_neighbourhood(spark, pairs):
     assert got == pytest.approx(want, abs=1e-6)
 
 
-def test_content_top(spark, table, pairs):
+def test_content_top(spark, table, pairs, side):
     rng = np.random.default_rng(0)
     vec = {i: rng.random(4) for i in range(60)}
     features = spark.createDataFrame([(i, v.tolist()) for i, v in vec.items()], "i long, v array<double>")
