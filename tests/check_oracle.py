@@ -49,7 +49,8 @@ def compare(spark, connection, name: str, folder: str) -> str:
     odd = [(c, k, kinds[c]) for c, k in df.dtypes if pairs.get(k, k) != kinds[c]]
     note = f" types differ {odd}" if odd else ""
     if mine != theirs:
-        left, right = [r for r in mine if r not in set(theirs)][:3], [r for r in theirs if r not in set(mine)][:3]
+        ours, others = set(mine), set(theirs)
+        left, right = sorted(ours - others)[:3], sorted(others - ours)[:3]
         return f"FAIL {name}: {len(mine)} vs {len(theirs)} rows{note}\n  spark {left}\n  sql   {right}"
     return f"{'FAIL' if odd else 'ok  '} {name}: {len(mine)} rows, {took:.2f}s{note}"
 
