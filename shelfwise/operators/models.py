@@ -11,10 +11,12 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans, LDAModel
+from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, GaussianMixtureModel, KMeans, LDAModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import in_sample
@@ -102,8 +104,6 @@ def bayes_log_probabilities(counts: DataFrame, labels: DataFrame, key: str, clas
 
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """``(slope, intercept, r2)`` of a least-squares line."""
-    from pyspark.ml.feature import VectorAssembler
-
     points = VectorAssembler(inputCols=[x], outputCol="features").transform(df.select(x, F.col(y).alias("label")))
     model = LinearRegression(maxIter=10, solver="normal").fit(points)
     found = (float(model.coefficients[0]), float(model.intercept), float(model.summary.r2))
@@ -127,6 +127,47 @@ def topics(model: LDAModel, words: Sequence[str], top: int = 10) -> DataFrame:
     )
 
 
+def mixtures(model: LDAModel, df: DataFrame, key: str) -> DataFrame:
+    """``(key, topic, share)``: the topic mixture of each document."""
+    shares = vector_to_array("topicDistribution")
+    return model.transform(df).select(key, F.posexplode(shares).alias("topic", "share")).withColumn("topic", F.col("topic").cast("long"))
+
+
+def topic_fit(model: LDAModel, df: DataFrame) -> dict[str, float]:
+    """Log-likelihood and log-perplexity of a corpus under a topic model."""
+    return {"log_likelihood": model.logLikelihood(df), "log_perplexity": model.logPerplexity(df)}
+
+
+def centres(model: Model, spark: SparkSession) -> DataFrame:
+    """``(cluster, pos, value)`` of a fitted k-means or bisecting k-means model."""
+    rows = [(c, p, float(v)) for c, centre in enumerate(model.clusterCenters()) for p, v in enumerate(centre)]
+    return spark.createDataFrame(rows, "cluster long, pos long, value double")
+
+
+def gaussians(model: GaussianMixtureModel, spark: SparkSession) -> DataFrame:
+    """``(component, weight, mean, covariance)`` of a fitted mixture, covariances row by row."""
+    rows = [
+        (c, float(weight), part.mean.toArray().tolist(), part.cov.toArray().ravel().tolist())
+        for c, (weight, part) in enumerate(zip(model.weights, model.gaussiansDF.collect()))
+    ]
+    return spark.createDataFrame(rows, "component long, weight double, mean array<double>, covariance array<double>")
+
+
+def linear_summary(model: LinearRegressionModel) -> dict:
+    """Iterations, objective by iteration, RMSE and r2 of a fit; residuals stay in its summary."""
+    found = model.summary
+    return {
+        "iterations": found.totalIterations,
+        "objective": list(found.objectiveHistory),
+        "rmse": found.rootMeanSquaredError,
+        "r2": found.r2,
+    }
+
+
+def residuals(model: LinearRegressionModel) -> DataFrame:
+    return model.summary.residuals
+
+
 class Factors:
     """Alternating least squares on ``(u, i, w)``; ids of any size.
 

@@ -56,7 +56,7 @@ def mean_item_cosine(pairs: DataFrame, target: int) -> DataFrame:
     """
     mine = items_of(pairs, target)
     n_target = mine.agg(F.count(F.lit(1))).scalar()
-    sizes = keep_keys(pairs, mine, "i").groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    sizes = _sizes(keep_keys(pairs, mine, "i"), "i", "n")
     held = few(sizes.select("i", (1.0 / F.sqrt("n")).alias("share")))
     weights = pairs.join(held, "i").groupBy("u").agg(F.sum("share").alias("p"))
     scores = pairs.join(weights, "u", "left").groupBy("i").agg(
@@ -109,17 +109,20 @@ def _beside_target_items(weighted: DataFrame, items: DataFrame, salts: int) -> D
     return left.join(right, ["u", "salt"]).where(F.col("a") != F.col("b"))
 
 
+def _sizes(pairs: DataFrame, item: str, size: str) -> DataFrame:
+    return pairs.groupBy(F.col("i").alias(item)).agg(F.count(F.lit(1)).alias(size))
+
+
 def item_cosine(pairs: DataFrame, items: DataFrame, salts: int = SALTS) -> DataFrame:
     """``(a, b, score)``: cosine of 0/1 user columns of each given item ``a`` with each item ``b``.
 
     Pairs without a common user have cosine 0 and are not listed.
     """
-    sizes = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    own = few(_sizes(keep_keys(pairs, items, "i"), "a", "na"))
     both = _beside_target_items(pairs.withColumn("w", F.lit(1.0)), items, salts)
     shared = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"))
     return (
-        shared.join(sizes.select(F.col("i").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("i").alias("b"), F.col("n").alias("nb")), "b")
+        shared.join(own, "a").join(_sizes(pairs, "b", "nb"), "b")
         .select("a", "b", (F.col("n_shared") / F.sqrt(F.col("na") * F.col("nb"))).alias("score"))
     )
 

@@ -83,7 +83,7 @@ def _norm_sql(length):
     return f"""
     WITH e AS (SELECT vec_id, CAST(embedding AS double[]) v FROM embeddings),
     n AS (SELECT vec_id, v, {length} AS n FROM e)
-    SELECT vec_id, CAST(k AS bigint) AS pos, round(v[k + 1] / n, 6) AS value FROM n, range(0, 64) g(k)
+    SELECT vec_id, CAST(k AS bigint) AS pos, round(v[k + 1] / n, 6) + 0.0 AS value FROM n, range(0, 64) g(k)
     """
 
 
@@ -112,7 +112,7 @@ def normalize_linf(t):
     WITH e AS (SELECT vec_id, CAST(embedding AS double[]) v FROM embeddings),
     x AS (SELECT vec_id, n, v[n + 1] AS x FROM e, range(0, 64) g(n))
     SELECT vec_id, CAST(k AS bigint) AS pos,
-           round(CASE WHEN k = 0 THEN sqrt(1 / 64) ELSE sqrt(2 / 64) END * sum(x * cos(pi() * (n + 0.5) * k / 64)), 6) AS value
+           round(CASE WHEN k = 0 THEN sqrt(1 / 64) ELSE sqrt(2 / 64) END * sum(x * cos(pi() * (n + 0.5) * k / 64)), 6) + 0.0 AS value
     FROM x, range(0, 64) h(k) GROUP BY 1, 2, k
     """,
 )

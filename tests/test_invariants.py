@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from conftest import SMALL
@@ -150,3 +151,34 @@ def test_tree_rules_and_splits(spark):
     assert sum(p.count() for p in models.random_split(df, [0.7, 0.3], 5)) == 60
     pipeline = models.indexed_pipeline(models.estimator("linreg"))
     assert pipeline.fit(df).transform(df).count() == 60
+
+
+def test_cluster_and_topic_details(spark):
+    from shelfwise.operators import features as feat, models, text as tx
+
+    rng = np.random.default_rng(1)
+    points = [(k, float(x), float(y)) for k, (x, y) in enumerate(np.vstack([rng.normal(0, 0.1, (40, 2)), rng.normal(5, 0.1, (20, 2))]))]
+    df = feat.assemble(spark.createDataFrame(points, "id long, x double, y double"), ["x", "y"])
+    for kind in ("kmeans", "bisecting_kmeans"):
+        found = {(r["cluster"], r["pos"]): r["value"] for r in models.centres(models.estimator(kind, k=2, seed=1).fit(df), spark).collect()}
+        assert sorted(round(v) for v in found.values()) == [0, 0, 5, 5]
+    parts = models.gaussians(models.estimator("gmm", k=2, seed=1).fit(df), spark).orderBy("weight").collect()
+    assert [round(p["weight"], 3) for p in parts] == [0.333, 0.667] and all(len(p["covariance"]) == 4 for p in parts)
+
+    docs = tx.tokenize(spark.createDataFrame([(k, "a b a" if k % 2 else "x y x") for k in range(20)], "id long, text string"))
+    counts = tx.fit_counts(docs, out="features").transform(docs)
+    model = models.estimator("lda", k=2, maxIter=10, seed=1).fit(counts)
+    shares = models.mixtures(model, counts, "id").groupBy("id").sum("share").collect()
+    assert len(shares) == 20 and all(r[1] == pytest.approx(1.0) for r in shares)
+    fit = models.topic_fit(model, counts)
+    assert fit["log_likelihood"] < 0 < fit["log_perplexity"]
+
+
+def test_linear_details(spark):
+    from shelfwise.operators import features as feat, models
+
+    df = feat.assemble(spark.range(50).selectExpr("id", "cast(id as double) AS x", "2.0D * id + 1.0D AS label"), ["x"])
+    model = models.estimator("linreg", maxIter=10).fit(df)
+    found = models.linear_summary(model)
+    assert found["r2"] == pytest.approx(1.0) and found["rmse"] < 1e-6 and found["iterations"] >= 0 and found["objective"]
+    assert models.residuals(model).count() == 50
