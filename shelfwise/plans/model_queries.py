@@ -171,10 +171,19 @@ def gmm(t):
     return t.spark.createDataFrame(rows, "component long, weight double")
 
 
-@query("silhouette")
+@query(
+    "silhouette",
+    """
+    WITH e AS (SELECT vec_id, label, CAST(embedding AS double[]) AS v FROM embeddings),
+    d AS (SELECT a.vec_id, a.label AS la, b.label AS lb, avg(pow(list_distance(a.v, b.v), 2)) AS m
+          FROM e a JOIN e b ON a.vec_id <> b.vec_id GROUP BY 1, 2, 3),
+    x AS (SELECT vec_id, max(CASE WHEN la = lb THEN m END) AS a, min(CASE WHEN la <> lb THEN m END) AS b FROM d GROUP BY 1)
+    SELECT round(avg((b - a) / greatest(a, b)), 6) AS score FROM x
+    """,
+)
 def silhouette(t):
     rows = _embeddings(t).withColumn("label", F.col("label").cast("double"))
-    return t.spark.createDataFrame([(ev.silhouette(rows, cluster="label"),)], "score double")
+    return t.spark.createDataFrame([(round(ev.silhouette(rows, cluster="label"), 6),)], "score double")
 
 
 @query("lda_topics")

@@ -69,3 +69,26 @@ def test_two_passes_share_one_shuffle(spark):
 
 def test_texts_are_tokenized_once(spark):
     assert plan(QUERIES["tokenize"](spark, SMALL)).count("UDF(text") == 1
+
+
+def test_hot_keys_are_split(spark):
+    """With thresholds scaled to the test table, Spark splits the partition of a hot user in a join."""
+    hot = spark.range(200_000).selectExpr("if(id % 3 = 0, 7, id % 5000) AS u", "id AS i")
+    users = spark.range(5000).selectExpr("id AS u", "id * 2 AS p")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = hot.repartition(40, "i").join(users, "u").groupBy("i").sum("p")
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
