@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,24 +29,39 @@ def local_session(cpus: int | str = 8, app: str = "shelfwise", **conf: str) -> S
     return session
 
 
-def require_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; fall back to a scratch folder in local mode only."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwise-checkpoint-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or one inside the warehouse where that is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+_written: dict[str, SparkSession] = {}
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the files.
+    """Write ``df`` as parquet below the shared folder and continue from the files.
 
-    Later steps then see one fixed set of rows, whatever executor is lost.
+    Later steps then see one fixed set of rows, whatever executor is lost, and read only the columns
+    they need. ``release`` deletes the files; what is left goes when the driver ends.
     """
-    require_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/shelfwise-{uuid.uuid4().hex}"
+    _written[path] = spark
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of durable tables that nothing reads any more; without arguments, of all of them."""
+    for path in [t.scratch_path for t in tables] if tables else list(_written):
+        spark = _written.pop(path, None)
+        if spark is not None:
+            with contextlib.suppress(Exception):  # the JVM may have ended first
+                jvm = spark._jvm
+                where = jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+atexit.register(release)

@@ -13,9 +13,11 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from shelfwise.plans.catalog import ORACLES, QUERIES  # noqa: E402
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from shelfwise.session import local_session  # noqa: E402
 
+QUERIES, ORACLES = queries(), oracle_sql()
+
 NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 
