@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.names import fresh
 from shelfwise.session import durable
 
 SUPPORT = 3
@@ -125,8 +126,8 @@ def revealing_words(docs: DataFrame, values: DataFrame, support: int, share: flo
     wanted = pairs.select("word").distinct()
     spoken = _rows(docs, key, text).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("word"))
     frequency = spoken.join(wanted, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_t"))
-    n = F.lit(values.count())
-    disclosed = F.log2(n * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
+    n = F.lit(float(values.count()))
+    disclosed = F.log2(n * F.col("n_te") / F.col("n_t") / F.col("n_e"))
     information = F.log2(n / F.col("n_e"))
     return pairs.join(frequency, "word").where((information > 0) & (disclosed >= share * information)).select("entity", "word")
 
@@ -159,7 +160,10 @@ def find_personal_data(docs: DataFrame, support: int = SUPPORT, share: float = S
     values = find_values(docs, key, text)
     rows = _beside(values.select("doc_id", "print", "spans"), term_spans(docs, values, support, share, key, text))
     spans = F.array_sort(F.concat("spans", F.coalesce("_terms", F.array().cast(_SPANS))))
-    count = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate((*KINDS, "term"))]
+    kinds = F.transform(spans, lambda s: s["kind"])
+    count = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{name}") for kind, name in enumerate((*KINDS, "term"))
+    ]
     return rows.select("doc_id", *count, F.sha2(_listed(F.col("spans")), 256).alias("base_sha256"), _listed(spans).alias("spans"))
 
 
@@ -187,10 +191,11 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, share: float = SHARE, key:
     terms = durable(term_spans(docs, values, support, share, key, text))
     if terms.count() <= BROADCAST_ROWS:
         terms = F.broadcast(terms)
-    other = terms.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), F.col("terms").alias("_terms"))
+    own_id, own_print, own_terms, clean = fresh(docs, "id", "print", "terms", "clean")
+    other = terms.select(F.col("doc_id").alias(own_id), F.col("print").alias(own_print), F.col("terms").alias(own_terms))
     body = F.col(text).cast("string")
-    rows = docs.join(other, docs[key].cast("long").eqNullSafe(other["_id"]) & (F.xxhash64(F.coalesce(body, F.lit(""))) == other["_print"]), "left")
-    spans = F.array_sort(F.concat(base_spans(body), F.coalesce("_terms", F.array().cast(_SPANS))))
-    rows = rows.withColumn("_clean", redacted(body, spans))
-    columns = {text: F.col("_clean"), chars: F.length("_clean").cast("long")}
+    rows = docs.join(other, docs[key].cast("long").eqNullSafe(other[own_id]) & (F.xxhash64(F.coalesce(body, F.lit(""))) == other[own_print]), "left")
+    spans = F.array_sort(F.concat(base_spans(body), F.coalesce(own_terms, F.array().cast(_SPANS))))
+    rows = rows.withColumn(clean, redacted(body, spans))
+    columns = {text: F.col(clean), chars: F.length(clean).cast("long")}
     return rows.select(*(columns.get(c, F.col(c)).alias(c) for c in docs.columns))

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.llm.names import fresh
+
 _URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?(/[^?#]*)?"
 
 
@@ -87,8 +89,10 @@ def evaluate(captures: DataFrame, log: DataFrame) -> DataFrame:
     on = now.where("_state.active").select("_url", "_ts", "_entry", F.col("_state.ts").alias("_since"))
     best = F.min(F.struct((-F.length("_entry")).alias("n"), F.col("_entry").alias("entry"), F.col("_since").alias("since")))
     active = on.groupBy("_url", "_ts").agg(F.count(F.lit(1)).alias("_n"), best.alias("_best"))
-    same = (F.col("url") == F.col("_url")) & (F.col("ts") == F.col("_ts"))
+    own_url, own_ts, number, best_one = fresh(captures, "url", "ts", "n", "best")
+    active = active.toDF(own_url, own_ts, number, best_one)
+    same = (F.col("url") == F.col(own_url)) & (F.col("ts") == F.col(own_ts))
     kept = [c for c in captures.columns if c not in ("n_active", "entry", "since")]
     return captures.select(*kept).join(active, same, "left").select(
-        *kept, F.coalesce("_n", F.lit(0).cast("long")).alias("n_active"), F.col("_best.entry").alias("entry"), F.col("_best.since").alias("since")
+        *kept, F.coalesce(number, F.lit(0).cast("long")).alias("n_active"), F.col(f"{best_one}.entry").alias("entry"), F.col(f"{best_one}.since").alias("since")
     )
