@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS = 3_000
+SAMPLE_ROWS = 2_000
 DIM = 1 << 16
 THRESHOLD = 0.5
 LEAST_WORDS, MOST_REPEATED = 50, 50
