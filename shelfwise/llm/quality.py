@@ -20,6 +20,7 @@ DIM = 1 << 16
 THRESHOLD = 0.5
 LEAST_WORDS, MOST_REPEATED = 50, 50
 CHUNK = 1 << 20
+ENTRIES = 1 << 18
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
 ROUNDS, PENALTY = 150, 1e-6
@@ -139,26 +140,27 @@ def fit_rows(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model | None:
     held = np.arange(len(rows)) % 5 == 4
     if any(len(set(labels[part])) < 2 for part in (held, ~held)):
         return None
-    lengths = [len(r[0]) for r in rows]
-    row = np.repeat(np.arange(len(rows)), lengths)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
     slot = np.concatenate([r[0] for r in rows])
-    share = np.concatenate([r[1] for r in rows]).astype(float)
-    train = ~held[row]
+    share = np.concatenate([r[1] for r in rows])
+    parts = [slice(at, at + ENTRIES) for at in range(0, len(row), ENTRIES)]
     weights, bias = np.zeros(2 * DIM), 0.0
     moments = np.zeros((2, 2 * DIM + 1))
     balance = np.where(labels == 1, 0.5 / labels[~held].mean(), 0.5 / (1 - labels[~held].mean()))
-    target_row, target_slot, target_share = row[train], slot[train], share[train]
+
+    def scores() -> np.ndarray:
+        return sum(np.bincount(row[p], weights[slot[p]] * share[p], len(rows)) for p in parts) + bias
+
     for step in range(1, ROUNDS + 1):
-        score = np.bincount(target_row, weights[target_slot] * target_share, len(rows)) + bias
-        error = np.where(held, 0, (_sigmoid(score) - labels) * balance) / max(1, (~held).sum())
-        gradient = np.bincount(target_slot, error[target_row] * target_share, 2 * DIM) + PENALTY * weights
+        error = np.where(held, 0, (_sigmoid(scores()) - labels) * balance) / max(1, (~held).sum())
+        gradient = sum(np.bincount(slot[p], error[row[p]] * share[p], 2 * DIM) for p in parts) + PENALTY * weights
         whole = np.append(gradient, error.sum())
         moments[0] = 0.9 * moments[0] + 0.1 * whole
         moments[1] = 0.99 * moments[1] + 0.01 * whole**2
         move = moments[0] / (1 - 0.9**step) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-9)
         weights -= 0.3 * move[:-1]
         bias -= 0.03 * move[-1]
-    raw = np.bincount(row, weights[slot] * share, len(rows)) + bias
+    raw = scores()
     slope, shift = _calibrate(raw[held], labels[held])
     return Model(weights.reshape(2, DIM).astype(np.float32), bias, slope, shift)
 
