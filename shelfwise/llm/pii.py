@@ -123,9 +123,8 @@ def revealing_words(docs: DataFrame, values: DataFrame, support: int, share: flo
     contexts = words.select("entity", "word", "context").distinct().groupBy("entity", "word").agg(F.count(F.lit(1)).alias("n_c")).where(F.col("n_c") >= support)
     together = words.select("entity", "word", "doc_id", "print").distinct().groupBy("entity", "word").agg(F.count(F.lit(1)).alias("n_te"))
     pairs = durable(contexts.join(together, ["entity", "word"]).join(entity_docs, "entity"))
-    wanted = pairs.select("word").distinct()
     spoken = _rows(docs, key, text).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("word"))
-    frequency = spoken.join(wanted, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_t"))
+    frequency = spoken.groupBy("word").agg(F.count(F.lit(1)).alias("n_t"))
     n = F.lit(float(values.count()))
     disclosed = F.log2(n * F.col("n_te") / F.col("n_t") / F.col("n_e"))
     information = F.log2(n / F.col("n_e"))
