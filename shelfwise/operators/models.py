@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import in_sample
 from shelfwise.operators.ids import dense_index
+from shelfwise.session import durable
 
 ESTIMATORS = {
     "naive_bayes": NaiveBayes,
@@ -35,7 +36,6 @@ ESTIMATORS = {
     "gmm": GaussianMixture,
     "lda": LDA,
 }
-INT_MAX = 2**31 - 1
 
 
 def estimator(kind: str, **params) -> Estimator:
@@ -48,11 +48,6 @@ def split(df: DataFrame, key: str, share: float = 0.7) -> tuple[DataFrame, DataF
     return df.where(chosen), df.where(~chosen)
 
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int | None = None) -> list[DataFrame]:
-    """Spark's random split; the parts depend on the partitioning of ``df``."""
-    return df.randomSplit(list(weights), seed)
-
-
 def fit_and_score(df: DataFrame, key: str, stage: Estimator, share: float = 0.7) -> tuple[DataFrame, Model]:
     """Fit on the training part and score the test part of ``df``.
 
@@ -110,6 +105,16 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.sparkSession.createDataFrame([found], "slope double, intercept double, r2 double")
 
 
+def linear_errors(df: DataFrame, x: str, y: str) -> DataFrame:
+    """``(n, mse, rmse, mae)`` of the residuals of a least-squares line."""
+    points = VectorAssembler(inputCols=[x], outputCol="features").transform(df.select(x, F.col(y).alias("label")))
+    found = residuals(LinearRegression(maxIter=10, solver="normal").fit(points))
+    error = F.col("residuals")
+    return found.agg(
+        F.count(error).alias("n"), F.avg(error * error).alias("mse"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae")
+    )
+
+
 def topics(model: LDAModel, words: Sequence[str], top: int = 10) -> DataFrame:
     """``(topic, rank, term, weight)`` for the heaviest terms of each topic.
 
@@ -171,27 +176,26 @@ def residuals(model: LinearRegressionModel) -> DataFrame:
 class Factors:
     """Alternating least squares on ``(u, i, w)``; ids of any size.
 
-    Spark's ALS takes 32-bit ids. Wider ids are numbered densely first and translated back.
+    Spark's ALS takes 32-bit ids and lays its blocks out by them. Ids are always numbered densely first and translated
+    back, so the size of an id never changes the model.
     """
 
     def __init__(self, weighted: DataFrame, rank: int = 8, rounds: int = 5, reg: float = 0.01, seed: int = 42):
-        lo_u, hi_u, lo_i, hi_i = weighted.agg(F.min("u"), F.max("u"), F.min("i"), F.max("i")).first()
-        self.users = dense_index(weighted, "u", "u_ix") if max(-lo_u, hi_u) > INT_MAX else None
-        self.items = dense_index(weighted, "i", "i_ix") if max(-lo_i, hi_i) > INT_MAX else None
+        weighted = durable(weighted)
+        self.users, self.items = dense_index(weighted, "u", "u_ix"), dense_index(weighted, "i", "i_ix")
         self.model: ALSModel = ALS(
             rank=rank, maxIter=rounds, regParam=reg, seed=seed, userCol="u_ix", itemCol="i_ix", ratingCol="w", coldStartStrategy="drop"
         ).fit(self._numbered(weighted))
 
-    def _number(self, df: DataFrame, column: str, index: DataFrame | None) -> DataFrame:
+    def _number(self, df: DataFrame, column: str, index: DataFrame) -> DataFrame:
         ix = f"{column}_ix"
-        return df.withColumn(ix, F.col(column).cast("int")) if index is None else df.join(index, column).withColumn(ix, F.col(ix).cast("int"))
+        return df.join(index, column).withColumn(ix, F.col(ix).cast("int"))
 
     def _numbered(self, df: DataFrame) -> DataFrame:
         return self._number(self._number(df, "u", self.users), "i", self.items)
 
-    def _named(self, df: DataFrame, column: str, index: DataFrame | None) -> DataFrame:
-        ix = f"{column}_ix"
-        return df.withColumn(column, F.col(ix).cast("long")) if index is None else df.join(index, ix)
+    def _named(self, df: DataFrame, column: str, index: DataFrame) -> DataFrame:
+        return df.join(index, f"{column}_ix")
 
     def _lists(self, found: DataFrame, of: str, to: str) -> DataFrame:
         rows = found.select(f"{of}_ix", F.posexplode("recommendations").alias("pos", "r")).select(

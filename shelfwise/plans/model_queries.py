@@ -75,6 +75,40 @@ def confusion(t):
     return ev.confusion(rows)
 
 
+@query(
+    "class_metrics",
+    """
+    WITH p AS (SELECT CAST(quality AS bigint) AS label, CASE WHEN n_chars > 500 THEN 1 ELSE 0 END::bigint AS prediction
+               FROM documents JOIN labels USING (doc_id)),
+    a AS (SELECT avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS accuracy FROM p),
+    l AS (SELECT label FROM p UNION SELECT prediction FROM p),
+    c AS (SELECT l.label, count(*) FILTER (WHERE p.label = l.label) AS support, count(*) FILTER (WHERE p.prediction = l.label) AS predicted,
+                 count(*) FILTER (WHERE p.label = l.label AND p.prediction = l.label) AS hit
+          FROM l JOIN p ON p.label = l.label OR p.prediction = l.label GROUP BY 1)
+    SELECT label, support, round(accuracy, 6) AS accuracy, round(hit / nullif(support, 0), 6) AS recall,
+           round(hit / nullif(predicted, 0), 6) AS "precision", round(2 * hit / (support + predicted), 6) AS f1 FROM c, a
+    """,
+)
+def class_metrics(t):
+    rows = t.documents.select("doc_id", (F.col("n_chars") > 500).cast("long").alias("prediction")).join(
+        t.labels.select("doc_id", F.col("quality").cast("long").alias("label")), "doc_id"
+    )
+    return ev.class_metrics(rows).select("label", "support", *(r6(F.col(c)).alias(c) for c in ("accuracy", "recall", "precision", "f1")))
+
+
+@query(
+    "linreg_summary",
+    """
+    WITH d AS (SELECT l_extendedprice / 1000 AS y, l_quantity AS x FROM lineitem),
+    f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM d), e AS (SELECT y - a - b * x AS r FROM d, f)
+    SELECT count(*) AS n, round(avg(r * r), 6) AS mse, round(sqrt(avg(r * r)), 6) AS rmse, round(avg(abs(r)), 6) AS mae FROM e
+    """,
+)
+def linreg_summary(t):
+    rows = t.lineitem.select("l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
+    return models.linear_errors(rows, "l_quantity", "price").select("n", *(r6(F.col(c)).alias(c) for c in ("mse", "rmse", "mae")))
+
+
 @query(
     "regression_metrics",
     """
@@ -124,7 +158,7 @@ def rf_classify(t):
     rows = feat.assemble(facts(t), measure_columns()).select(
         F.col("machine_record_id").alias("id"), F.col("machine_record_state").alias("label"), "features"
     )
-    return _scored(rows, "id", models.estimator("rf_classify", numTrees=10, maxDepth=5, seed=42))
+    return _scored(rows, "id", models.estimator("rf_classify", numTrees=10, maxDepth=5, seed=42, featureSubsetStrategy="all"))
 
 
 @query("dt_classify")
@@ -248,8 +282,8 @@ def train_val_split(t):
         .addGrid(model.elasticNetParam, [0.0, 0.5, 1.0])
         .build()
     )
-    found = ev.validate_once(_prices(t).select("features", "label"), model, grid, RegressionEvaluator())
-    return ev.metric_table(t.spark, grid, found.validationMetrics)
+    train, held_out = models.split(_prices(t).select("line", "features", "label"), "line", 0.8)
+    return ev.metric_table(t.spark, grid, ev.validate_once(train, held_out, model, grid, RegressionEvaluator()))
 
 
 @query("pca")

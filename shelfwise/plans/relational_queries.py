@@ -8,7 +8,7 @@ from shelfwise.functions.scalars import day, flag, number_or, r6
 from shelfwise.operators import ids, relational as rel
 from shelfwise.plans.registry import TARGET, query
 from shelfwise.session import durable
-from shelfwise.sources.tables import latest
+from shelfwise.sources.tables import latest_by_time
 from shelfwise.sources.text import as_json, parse_delimited, parse_json
 
 UI = "ui AS (SELECT DISTINCT o_custkey u, l_partkey i FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"
@@ -90,7 +90,7 @@ def json_extract(t):
     """,
 )
 def latest_partition(t):
-    return latest(t.events.select("event_id", day(F.col("ts")).alias("etldate")))
+    return latest_by_time(t.events, "ts").select("event_id", day(F.col("ts")).alias("etldate"))
 
 
 @query("state_flag", "SELECT event_id, CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END::double AS state FROM events")

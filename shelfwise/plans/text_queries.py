@@ -8,6 +8,7 @@ from shelfwise.functions.scalars import r6
 from shelfwise.operators import features as feat
 from shelfwise.operators import text as tx
 from shelfwise.plans.registry import query
+from shelfwise.session import durable
 
 TOKENS = r"tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\s')) AS term FROM documents)"
 MIN_DOCUMENTS = 5
@@ -45,12 +46,13 @@ def regex_tokenize(t):
 @query(
     "stopwords",
     f"""
-    WITH {TOKENS}, c AS (SELECT term, count(*) AS n FROM tok GROUP BY term)
-    SELECT term, n FROM c WHERE term NOT IN (SELECT term FROM c ORDER BY n DESC, term LIMIT 20)
+    WITH {TOKENS.replace(" AS (", " AS MATERIALIZED (", 1)}, c AS MATERIALIZED (SELECT term, count(*) AS n FROM tok GROUP BY term),
+    common AS MATERIALIZED (SELECT term FROM c ORDER BY n DESC, term LIMIT 20)
+    SELECT c.term, c.n FROM c ANTI JOIN common ON c.term = common.term
     """,
 )
 def stopwords(t):
-    counts = tx.term_counts(tx.terms(_tokens(t)))
+    counts = durable(tx.term_counts(tx.terms(_tokens(t))))
     return counts.join(tx.most_frequent(counts, 20).select("term"), "term", "left_anti")
 
 

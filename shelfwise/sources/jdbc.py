@@ -12,7 +12,7 @@ class Database:
     """A JDBC address with its connection properties (user, password, driver)."""
 
     url: str
-    properties: dict[str, str] = field(default_factory=dict)
+    properties: dict[str, str] = field(default_factory=dict, repr=False)  # holds the password
     fetch_size: int = 10_000
     batch_size: int = 10_000
 

@@ -41,5 +41,14 @@ def latest(df: DataFrame, day: str = DAY) -> DataFrame:
     return df.where(F.col(day) == newest)
 
 
+def latest_by_time(df: DataFrame, ts: str) -> DataFrame:
+    """Rows of the greatest day of a time column.
+
+    The bound is the start of that day, compared with the bare column, so the scan skips what lies before it.
+    """
+    start = df.agg(F.date_trunc("day", F.max(ts))).scalar()
+    return df.where(F.col(ts) >= start)
+
+
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     return latest(spark.read.parquet(path))

@@ -15,11 +15,11 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a given schema, so no pass over the data is spent on inference.
 
-    For another charset, such as ``gbk``, Spark wants a setting that admits it. Spark looks at it
-    again when the query runs, so it stays on for the session.
+    For another charset, such as ``gbk``, Spark wants ``spark.sql.legacy.javaCharsets``. Spark looks at it again when
+    the query runs, so it belongs in the session's configuration; without it this raises.
     """
-    if charset.lower() not in _PLAIN_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    if charset.lower() not in _PLAIN_CHARSETS and spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true":
+        raise ValueError(f"reading {charset} needs spark.sql.legacy.javaCharsets=true in the session's configuration")
     return spark.read.schema(schema).option("header", header).option("encoding", charset).csv(path)
 
 

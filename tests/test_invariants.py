@@ -148,7 +148,6 @@ def test_tree_rules_and_splits(spark):
     assert "If (feature 0 <=" in models.rules(model)
     train, test = models.split(df, "id")
     assert train.count() + test.count() == 60 and scored.count() == test.count() and train.intersect(test).count() == 0
-    assert sum(p.count() for p in models.random_split(df, [0.7, 0.3], 5)) == 60
     pipeline = models.indexed_pipeline(models.estimator("linreg"))
     assert pipeline.fit(df).transform(df).count() == 60
 
@@ -182,3 +181,24 @@ def test_linear_details(spark):
     found = models.linear_summary(model)
     assert found["r2"] == pytest.approx(1.0) and found["rmse"] < 1e-6 and found["iterations"] >= 0 and found["objective"]
     assert models.residuals(model).count() == 50
+
+
+def test_alarm_model_finds_alarms(spark):
+    """Held-out rows: a model that always answers one class fails."""
+    from pyspark.sql import functions as F
+
+    from shelfwise.operators import evaluate as ev
+    from shelfwise.plans.catalog import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    state = spark.read.parquet(f"{folder}/events.parquet").select(F.col("event_id").alias("id"), (F.col("event_type") == "error").cast("double").alias("label"))
+    scored = QUERIES["rf_classify"](spark, folder).select("id", F.col("prediction").cast("double").alias("prediction")).join(state, "id")
+    found = {r["label"]: r for r in ev.class_metrics(scored).collect()}
+    assert found[1.0]["recall"] > 0.4 and found[1.0]["precision"] > 0.8 and found[0.0]["recall"] > 0.9
+
+
+def test_latest_day_is_pushed_to_the_scan(spark):
+    from shelfwise.plans.catalog import QUERIES
+
+    plan = QUERIES["latest_partition"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ts#" in plan and "date_format" not in plan.split("Filter")[1].split("\n")[0]

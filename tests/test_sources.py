@@ -9,6 +9,9 @@ from shelfwise.sources import jdbc, tables, text
 
 def test_csv_in_gbk(spark, tmp_path):
     path = tmp_path / "orders.csv"
+    with pytest.raises(ValueError, match="javaCharsets"):
+        text.read_csv(spark, str(path), "a int", charset="gbk")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     path.write_bytes("用户id,商品id,价格\n1,2,3.5\n4,5,\n".encode("gbk"))
     df = text.read_csv(spark, str(path), "`用户id` int, `商品id` int, `价格` double", charset="gbk")
     assert [tuple(r) for r in df.orderBy("用户id").collect()] == [(1, 2, 3.5), (4, 5, None)]
