@@ -47,7 +47,7 @@ def compare(spark, connection, name: str, folder: str) -> str:
     if sorted(columns) != sorted(df.columns):
         return f"FAIL {name}: columns {sorted(df.columns)} vs {sorted(columns)}"
     mine, theirs = rows_of(got, df.columns), rows_of(want, columns)
-    pairs = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER"}
+    pairs = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
     odd = [(c, k, kinds[c]) for c, k in df.dtypes if pairs.get(k, k) != kinds[c]]
     note = f" types differ {odd}" if odd else ""
     if mine != theirs:
