@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.ids import dense_index
-from shelfwise.session import durable
+from shelfwise.session import durable, release
 
 GRAM_COLUMNS = 4096
 LANCZOS_COLUMNS = 65_535
@@ -95,7 +95,7 @@ class TableSvd:
     rows: DataFrame
     columns: DataFrame
     s: np.ndarray
-    settled: bool = True
+    settled: bool = True  # a result that has not converged is never returned
 
 
 def _packed(factors: DataFrame, key: str, width: int) -> DataFrame:
@@ -167,7 +167,7 @@ def wide_svd(
     entries: DataFrame,
     k: int,
     oversample: int = 8,
-    rounds: int = 30,
+    rounds: int = 300,
     tolerance: float = 1e-6,
     seed: int = 42,
     partitions: int | None = None,
@@ -177,8 +177,7 @@ def wide_svd(
     Both dimensions may be of any length: factors stay tables, and each half round is one join and
     one grouped sum. The entries are laid out once by column slice and once by row slice and reused
     every round, so a round shuffles factor rows, not entries. It stops when the values change by
-    less than ``tolerance`` of the first, or after ``rounds`` with ``settled`` false: values that
-    lie close together then still carry an error.
+    less than ``tolerance`` of the first; values still changing after ``rounds`` are an error.
     """
     spark = entries.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -205,17 +204,20 @@ def wide_svd(
             values, vectors = np.maximum(values[::-1][:k], 0.0), vectors[:, ::-1][:, :k]
             s = np.sqrt(values)
             settled = s.size == before.size and bool(np.all(np.abs(s - before) <= tolerance * s[0]))
-            if settled or step == rounds:
+            if settled:
                 break
+            if step == rounds:
+                raise RuntimeError(f"singular values still change after {rounds} rounds")
             before = s
+            release(image)
             image = durable(_times(by_row, left, "row", "col", size))
+            release(left)
         keep = s > NOISE * s[0]
         s, vectors = s[keep], vectors[:, keep]
         return TableSvd(
             rows=_packed(_combine(left, vectors, "row"), "row", len(s)),
             columns=_packed(_combine(right, vectors * s, "col"), "col", len(s)),
             s=s,
-            settled=settled,
         )
     finally:
         by_row.unpersist()

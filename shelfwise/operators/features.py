@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.arrays import doubles
+from shelfwise.operators.relational import among
 
 SCALERS = {"standard": StandardScaler, "minmax": MinMaxScaler, "maxabs": MaxAbsScaler}
 
@@ -93,14 +94,22 @@ def one_hot(df: DataFrame, columns: Sequence[str], outs: Sequence[str], drop_las
     return encoder.fit(df).transform(df)
 
 
-def dummies(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str]) -> DataFrame:
-    """One 0/1 column per value of a closed list."""
-    return df.select(*keys, *(F.when(F.col(column) == v, 1.0).otherwise(0.0).alias(v) for v in values))
+def dummies(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], strict: bool = False) -> DataFrame:
+    """One 0/1 column per value of a closed list; any other value is all zeros, or an error where ``strict``."""
+    value = among(F.col(column), values) if strict else F.col(column)
+    return df.select(*keys, *(F.when(value == v, 1.0).otherwise(0.0).alias(v) for v in values))
 
 
-def index_categories(df: DataFrame, vector: str, most: int, out: str = "indexed") -> DataFrame:
-    """Index vector positions with at most ``most`` distinct values; leave the others as they are."""
-    return VectorIndexer(inputCol=vector, outputCol=out, maxCategories=most).fit(df).transform(df)
+def index_categories(df: DataFrame, vector: str, most: int, out: str = "indexed", expected: Sequence[int] = ()) -> DataFrame:
+    """Index vector positions with at most ``most`` distinct values; leave the others as they are.
+
+    An ``expected`` position with more values is an error.
+    """
+    model = VectorIndexer(inputCol=vector, outputCol=out, maxCategories=most).fit(df)
+    wide = set(expected) - set(model.categoryMaps)
+    if wide:
+        raise ValueError(f"positions {sorted(wide)} have more than {most} values")
+    return model.transform(df)
 
 
 def product_pipeline(numeric: Sequence[str], categorical: Sequence[str], out: str = "features") -> Pipeline:

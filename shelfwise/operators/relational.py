@@ -125,11 +125,18 @@ def explode_items(sets: DataFrame) -> DataFrame:
     return sets.select("u", F.explode("items").alias("i"))
 
 
+def among(value: Column, values: Sequence) -> Column:
+    """``value``, which must be null or one of ``values``."""
+    unknown = F.raise_error(F.concat(F.lit("value outside the list: "), value.cast("string")))
+    return F.when(value.isNull() | value.isin(list(values)), value).otherwise(unknown)
+
+
 def indicator_pivot(
     pairs: DataFrame, row: str, column: str, values: Sequence, prefix: str
 ) -> DataFrame:
-    """0/1 matrix with one column per value of a closed list."""
-    wide = pairs.groupBy(row).pivot(column, list(values)).agg(F.max(F.lit(1.0)))
+    """0/1 matrix with one column per value of a closed list; any other value ends the job with an error."""
+    known = pairs.withColumn(column, among(F.col(column), values))
+    wide = known.groupBy(row).pivot(column, list(values)).agg(F.max(F.lit(1.0)))
     renamed = wide.select(row, *(F.col(str(v)).alias(f"{prefix}{v}") for v in values))
     return renamed.na.fill(0.0)
 

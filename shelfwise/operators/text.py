@@ -111,9 +111,17 @@ def weigh(df: DataFrame, counts: str = "tf", out: str = "tfidf", min_documents:
 
 
 def fit_counts(
-    df: DataFrame, size: int = 1 << 18, min_documents: float = 1.0, tokens: str = "tokens", out: str = "counts"
+    df: DataFrame, size: int = 1 << 18, min_documents: float = 1.0, tokens: str = "tokens", out: str = "counts", whole: bool = False
 ) -> CountVectorizerModel:
-    """Vocabulary of at most ``size`` terms, most frequent first."""
+    """Vocabulary of at most ``size`` terms, most frequent first.
+
+    With ``whole`` more terms than ``size`` are an error instead of being left out.
+    """
+    if whole:
+        model = CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=size + 1, minDF=min_documents).fit(df)
+        if len(model.vocabulary) > size:
+            raise ValueError(f"more than {size} terms")
+        return model
     return CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=size, minDF=min_documents).fit(df)
 
 

@@ -63,7 +63,7 @@ def one_hot(t):
     "SELECT p_partkey, " + ", ".join(f"CASE WHEN p_type = '{v}' THEN 1.0 ELSE 0.0 END::double AS {v}" for v in TYPES) + " FROM part",
 )
 def dummy_columns(t):
-    return feat.dummies(t.part, ["p_partkey"], "p_type", TYPES)
+    return feat.dummies(t.part, ["p_partkey"], "p_type", TYPES, strict=True)
 
 
 @query(
@@ -74,7 +74,7 @@ def dummy_columns(t):
 )
 def vector_index(t):
     vectors = feat.assemble(t.part, ["p_size", "p_retailprice"])
-    indexed = feat.index_categories(vectors, "features", most=60)
+    indexed = feat.index_categories(vectors, "features", most=60, expected=[0])
     v = F.col("indexed")
     return indexed.select("p_partkey", feat.element(v, 0).alias("size_ix"), feat.element(v, 1).alias("price"))
 

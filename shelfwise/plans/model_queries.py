@@ -16,8 +16,10 @@ from shelfwise.functions.scalars import fold_of, in_sample, r6
 from shelfwise.operators import blocks, evaluate as ev, factor, features as feat, models, recommend, relational as rel, text as tx
 from shelfwise.operators.telemetry import measure_columns
 from shelfwise.plans.registry import TARGET, query
+from shelfwise.plans.relational_queries import SIZES
 from shelfwise.plans.telemetry_queries import facts
 from shelfwise.plans.text_queries import MIN_DOCUMENTS, TOKENS
+from shelfwise.session import durable
 
 
 def _embeddings(t):
@@ -181,9 +183,20 @@ def rf_regress(t):
     return _scored(_prices(t), "line", models.estimator("rf_regress", numTrees=10, maxDepth=5, seed=42))
 
 
-def _clusters(t, kind):
+@query("tree_rules")
+def tree_rules(t):
+    """The printed rules of the tree behind ``dt_classify``, a row for each line."""
+    _, model = models.fit_and_score(_text_shape(t), "doc_id", models.estimator("dt_classify", maxDepth=4, seed=42))
+    return t.spark.createDataFrame(list(enumerate(models.rules(model).splitlines())), "line long, rule string")
+
+
+def _cluster_model(t, kind):
     rows = _embeddings(t)
-    model = models.estimator(kind, k=10, seed=42).fit(rows)
+    return rows, models.estimator(kind, k=10, seed=42).fit(rows)
+
+
+def _clusters(t, kind):
+    rows, model = _cluster_model(t, kind)
     return model.transform(rows).select("vec_id", F.col("prediction").cast("long").alias("cluster"))
 
 
@@ -197,10 +210,25 @@ def bisecting_kmeans(t):
     return _clusters(t, "bisecting_kmeans")
 
 
+@query("kmeans_centres")
+def kmeans_centres(t):
+    return models.centres(_cluster_model(t, "kmeans")[1], t.spark)
+
+
+def _gaussian_model(t):
+    projected, _ = factor.pca(_embeddings(t), "features", 5, out="reduced")
+    return models.estimator("gmm", k=10, seed=42, featuresCol="reduced", maxIter=20).fit(projected)
+
+
+@query("gmm_parts")
+def gmm_parts(t):
+    """Weight, mean and covariance of each component."""
+    return models.gaussians(_gaussian_model(t), t.spark)
+
+
 @query("gmm")
 def gmm(t):
-    projected, _ = factor.pca(_embeddings(t), "features", 5, out="reduced")
-    model = models.estimator("gmm", k=10, seed=42, featuresCol="reduced", maxIter=20).fit(projected)
+    model = _gaussian_model(t)
     rows = [(n, float(w)) for n, w in enumerate(model.weights)]
     return t.spark.createDataFrame(rows, "component long, weight double")
 
@@ -220,17 +248,36 @@ def silhouette(t):
     return t.spark.createDataFrame([(round(ev.silhouette(rows, cluster="label"), 6),)], "score double")
 
 
-@query("lda_topics")
-def lda_topics(t):
-    """Tokens, stop words, counts, inverse document frequency, then topics with their terms."""
+def _topic_model(t):
+    """Tokens, stop words, counts, inverse document frequency, then topics over every term of enough documents."""
     docs = tx.tokenize_regex(t.documents.select("doc_id", "text"))
     common = tx.most_frequent(tx.term_counts(tx.terms(docs)), 20)
     kept = tx.remove_words(docs, [r["term"] for r in common.collect()])
-    vectorizer = tx.fit_counts(kept, size=1000, min_documents=MIN_DOCUMENTS, tokens="kept")
-    weighted = tx.weigh(vectorizer.transform(kept), "counts", "features").select("doc_id", "features").persist()
+    vectorizer = tx.fit_counts(kept, min_documents=MIN_DOCUMENTS, tokens="kept", whole=True)
+    weighted = durable(tx.weigh(vectorizer.transform(kept), "counts", "features").select("doc_id", "features"))
     model = models.estimator("lda", k=5, maxIter=10, seed=42, optimizer="online").fit(weighted)
-    weighted.unpersist()
-    return models.topics(model, vectorizer.vocabulary, 10)
+    return model, vectorizer.vocabulary, weighted
+
+
+@query("lda_topics")
+def lda_topics(t):
+    model, words, _ = _topic_model(t)
+    return models.topics(model, words, 10)
+
+
+@query("lda_mixtures")
+def lda_mixtures(t):
+    """The share of each topic in each document."""
+    model, _, weighted = _topic_model(t)
+    return models.mixtures(model, weighted, "doc_id")
+
+
+@query("lda_fit")
+def lda_fit(t):
+    """Log-likelihood and log-perplexity of the documents under their topics."""
+    model, _, weighted = _topic_model(t)
+    found = models.topic_fit(model, weighted)
+    return t.spark.createDataFrame([(found["log_likelihood"], found["log_perplexity"])], "log_likelihood double, log_perplexity double")
 
 
 def _factors(t):
@@ -293,19 +340,33 @@ def pca(t):
     return t.spark.createDataFrame(rows, "component long, ratio double")
 
 
-@query("svd_energy")
-def svd_energy(t):
-    """Energy curve of the user-by-size purchase matrix: fifty columns, so the full spectrum."""
+def _size_spectrum(t):
+    """Singular values of the user-by-size purchase matrix, its columns and its squared weight."""
     sizes = t.part.select(F.col("p_partkey").alias("i"), "p_size")
     bought = rel.purchases(t.orders, t.lineitem).join(sizes, "i")
-    wide = rel.indicator_pivot(bought, "u", "p_size", range(1, 51), "size_")
+    wide = rel.indicator_pivot(bought, "u", "p_size", SIZES, "size_")
     vectors = wide.select("u", array_to_vector(F.array(*wide.columns[1:])).alias("v"))
-    found = factor.narrow_svd(vectors, "u", "v", 50)
+    found = factor.narrow_svd(vectors, "u", "v", len(SIZES))
     total = wide.select(sum((F.col(c) * F.col(c) for c in wide.columns[2:]), F.col(wide.columns[1]) ** 2).alias("e")).agg(F.sum("e")).first()[0]
-    rows = [(k + 1, float(np.round(e, 6))) for k, e in enumerate(factor.energy(found.s, total))]
+    return found.s, len(SIZES), total
+
+
+@query("svd_energy")
+def svd_energy(t):
+    """Energy curve of the user-by-size purchase matrix, a row for each column; null directions add nothing."""
+    s, width, total = _size_spectrum(t)
+    curve = factor.energy(np.pad(s, (0, width - len(s))), total)
+    rows = [(k + 1, float(np.round(e, 6))) for k, e in enumerate(curve)]
     return t.spark.createDataFrame(rows, "k long, energy double")
 
 
+@query("svd_rank")
+def svd_rank(t):
+    """Least number of singular values that keep 95 % of the energy."""
+    s, _, total = _size_spectrum(t)
+    return t.spark.createDataFrame([(factor.rank_for(s, total, 0.95),)], "rank long")
+
+
 @query("rec_svd_items")
 def rec_svd_items(t):
     items = _svd(t).columns.withColumnRenamed("col", "i")

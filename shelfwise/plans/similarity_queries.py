@@ -11,6 +11,7 @@ from shelfwise.operators import features as feat
 from shelfwise.operators import recommend, relational as rel, similarity as sim
 from shelfwise.plans.registry import TARGET, query
 from shelfwise.plans.relational_queries import UI
+from shelfwise.session import durable
 
 RATINGS = "r AS (SELECT o_custkey u, l_partkey i, sum(l_quantity) w FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)"
 CORATED = f"""
@@ -128,7 +129,7 @@ def jaccard_multiset(t):
     """,
 )
 def cross_target(t):
-    return sim.mean_item_cosine(_ui(t), TARGET).withColumn("score", r6(F.col("score")))
+    return sim.mean_item_cosine(durable(_ui(t)), TARGET).withColumn("score", r6(F.col("score")))
 
 
 @query(
@@ -141,13 +142,13 @@ def cross_target(t):
     """,
 )
 def item_item_cosine(t):
-    pairs = _ui(t)
+    pairs = durable(_ui(t))
     return sim.item_cosine(pairs, rel.items_of(pairs, TARGET)).withColumn("score", r6(F.col("score")))
 
 
 @query("corated_cosine", f"WITH {CORATED} SELECT a, b, round(score, 6) AS score FROM c")
 def corated_cosine(t):
-    weighted = rel.ratings(t.orders, t.lineitem)
+    weighted = durable(rel.ratings(t.orders, t.lineitem))
     return sim.corated_cosine(weighted, rel.items_of(weighted, TARGET)).withColumn("score", r6(F.col("score")))
 
 
@@ -181,7 +182,7 @@ def similar_users(t):
     """,
 )
 def rec_neighbourhood(t):
-    return recommend.neighbourhood_scores(rel.ratings(t.orders, t.lineitem), TARGET)
+    return recommend.neighbourhood_scores(durable(rel.ratings(t.orders, t.lineitem)), TARGET)
 
 
 @query(
@@ -202,7 +203,7 @@ def rec_neighbourhood(t):
 def rec_content_top5(t):
     table, _ = feat.product_features(t.part)
     vectors = table.select(F.col("p_partkey").alias("i"), vector_to_array("features").alias("v"))
-    return recommend.content_top(_ui(t), vectors, TARGET)
+    return recommend.content_top(durable(_ui(t)), vectors, TARGET)
 
 
 @query("vector_ops", "SELECT vec_id, embedding[1]::double AS first, embedding[-1]::double AS last, len(embedding) AS dim FROM embeddings")

@@ -26,6 +26,7 @@ def test_list_of_queries_without_sql():
     assert set(QUERIES) - set(ORACLES) == {
         "hashing_tf", "word2vec", "feature_hasher", "pca", "svd_energy", "rf_classify", "dt_classify", "logreg", "dt_regress",
         "rf_regress", "kmeans", "bisecting_kmeans", "gmm", "lda_topics", "als_users", "als_items",
+        "tree_rules", "kmeans_centres", "gmm_parts", "lda_mixtures", "lda_fit", "svd_rank",
         "als_user_subset", "als_item_subset", "cross_validate", "train_val_split", "rec_svd_items", "rec_unseen_per_user",
     }
 
@@ -54,7 +55,77 @@ def test_pca_shares_fall(run):
 
 def test_energy_reaches_one(run):
     curve = [r["energy"] for r in sorted(run("svd_energy"), key=lambda r: r["k"])]
-    assert curve == sorted(curve) and curve[-1] == pytest.approx(1.0, abs=1e-6)
+    assert curve == sorted(curve) and curve[-1] == pytest.approx(1.0, abs=1e-6) and len(curve) == 50
+    (row,) = run("svd_rank")
+    assert curve[row["rank"] - 1] >= 0.95 - 1e-6 and (row["rank"] == 1 or curve[row["rank"] - 2] < 0.95 + 1e-6)
+
+
+def test_tree_rules(run):
+    lines = [r["rule"] for r in sorted(run("tree_rules"), key=lambda r: r["line"])]
+    assert "DecisionTreeClassificationModel" in lines[0] and any("Predict:" in x for x in lines)
+
+
+def test_rows_lie_nearest_their_centre(run, spark):
+    import numpy as np
+
+    from conftest import SMALL
+
+    centres = np.zeros((10, 64))
+    for r in run("kmeans_centres"):
+        centres[r["cluster"], r["pos"]] = r["value"]
+    chosen = {r["vec_id"]: r["cluster"] for r in run("kmeans")}
+    for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect():
+        far = np.linalg.norm(centres - np.array(r["embedding"], dtype=float), axis=1)
+        assert far[chosen[r["vec_id"]]] == pytest.approx(far.min(), abs=1e-6)
+
+
+def test_gaussian_parts(run):
+    import numpy as np
+
+    rows = run("gmm_parts")
+    assert len(rows) == 10 and sum(r["weight"] for r in rows) == pytest.approx(1.0)
+    for r in rows:
+        spread = np.array(r["covariance"]).reshape(5, 5)
+        assert len(r["mean"]) == 5 and np.allclose(spread, spread.T) and np.linalg.eigvalsh(spread).min() > -1e-9
+
+
+def test_topic_mixtures_and_fit(run):
+    shares = defaultdict(float)
+    for r in run("lda_mixtures"):
+        shares[r["doc_id"]] += r["share"]
+    assert len(shares) == len(run("token_count")) and all(x == pytest.approx(1.0) or x == 0 for x in shares.values())
+    (fit,) = run("lda_fit")
+    assert fit["log_likelihood"] < 0 < fit["log_perplexity"]
+
+
+def test_values_outside_a_closed_list_fail(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from shelfwise.operators import features as feat, relational as rel, text as tx
+
+    odd = spark.createDataFrame([(1, "a"), (2, "new"), (3, None)], "id long, kind string")
+    assert feat.dummies(odd.where("id <> 2"), ["id"], "kind", ["a"], strict=True).count() == 2
+    with pytest.raises(Exception, match="value outside the list: new"):
+        feat.dummies(odd, ["id"], "kind", ["a"], strict=True).collect()
+    with pytest.raises(Exception, match="value outside the list: new"):
+        rel.indicator_pivot(odd, "id", "kind", ["a"], "is_").collect()
+    rows = spark.createDataFrame([(k, Vectors.dense(float(k))) for k in range(5)], ["id", "features"])
+    with pytest.raises(ValueError, match="more than 4 values"):
+        feat.index_categories(rows, "features", 4, expected=[0])
+    words = spark.createDataFrame([(["x", "y", "z"],)], "tokens array<string>")
+    with pytest.raises(ValueError, match="more than 2 terms"):
+        tx.fit_counts(words, 2, whole=True)
+    assert len(tx.fit_counts(words, 3, whole=True).vocabulary) == 3
+
+
+def test_unsettled_factors_fail(spark):
+    from pyspark.sql import functions as F
+
+    from shelfwise.operators import factor
+
+    entries = spark.range(40).select((F.col("id") % 8).alias("row"), (F.col("id") % 5).alias("col"), F.xxhash64("id").cast("double").alias("w"))
+    with pytest.raises(RuntimeError, match="after 0 rounds"):
+        factor.wide_svd(entries, 2, rounds=0)
 
 
 @pytest.mark.parametrize("name", ["rf_classify", "dt_classify", "logreg"])
