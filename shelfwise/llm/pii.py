@@ -7,11 +7,14 @@ discloses at least ``SHARE`` of its information is marked there, and generalised
 once as support.
 
 Patterns are written so that the engine's matching takes time in proportion to the text: possessive repeats, and a
-match starts only where a run starts or the last match ended.
+match starts only where a run starts or the last match ended. Places are summed and texts cut in blocks, so a long text
+with many values takes time in proportion to both, not to their product.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,7 @@ SUPPORT = 3
 SHARE = 0.8
 REACH = 80
 BROADCAST_ROWS = 200_000
+SCAN_BLOCK, TEXT_BLOCK = 256, 4096
 
 #: The four kinds of protected values, in their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -36,21 +40,62 @@ TERM = len(KINDS)
 _SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once; a column named inside a lambda would be computed anew for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _scan(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """What ``merge`` makes of each number and all before it (from 0), in blocks, so that no step copies a long array."""
+    none = F.array().cast("array<int>")
+
+    def inside(block: Column, before: Column) -> Column:
+        def step(acc: Column, value: Column) -> Column:
+            return _bound(merge(acc["at"], value), lambda at: F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out")))
+
+        return F.aggregate(block, F.struct(before.alias("at"), none.alias("out")), step)
+
+    def across(acc: Column, block: Column) -> Column:
+        done = inside(block, acc["at"])
+        return _bound(done, lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+    starts = F.sequence(F.lit(1), F.size(values), F.lit(SCAN_BLOCK))
+    blocks = F.transform(starts, lambda k: F.slice(values, k, SCAN_BLOCK))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<int>>").alias("out"))
+    return F.when(F.size(values) > 0, F.aggregate(blocks, start, across, lambda acc: F.flatten(acc["out"]))).otherwise(none)
+
+
 def matches(text: Column, pattern: str, kind: int) -> Column:
     """``(start, kind, end, value)`` of all matches, in code points; the gaps between matches give the places."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
+    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
-    def step(acc: Column, k: Column) -> Column:
-        start = acc["at"] + F.length(F.get(gaps, k))
-        value = F.get(found, k)
-        end = start + F.length(value)
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), value.alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def spans(m: Column) -> Column:
+        steps = F.zip_with(m["found"], F.slice(m["gaps"], F.lit(1), F.size(m["found"])), lambda f, g: F.length(f) + F.length(g))
+        ends = _bound(steps, lambda x: _scan(x, lambda before, step: before + step))
+        return F.zip_with(
+            m["found"], ends, lambda f, e: F.struct((e - F.length(f)).alias("start"), F.lit(kind).alias("kind"), e.alias("end"), f.alias("value"))
+        )
 
     none = F.array().cast(_SPANS)
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.when(F.size(found) > 0, F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda acc: acc["out"])).otherwise(none)
+    return _bound(
+        found, lambda f: F.when(F.size(f) > 0, _bound(F.struct(f.alias("found"), gaps.alias("gaps")), spans)).otherwise(none)
+    )
+
+
+def _blocks(text: Column) -> Column:
+    """The text in blocks of ``TEXT_BLOCK`` code points; a place in a long text is then found without reading all before it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+
+
+def _part(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` of a text in blocks; empty where they are none."""
+
+    def piece(b: Column) -> Column:
+        first = F.greatest(start - b * TEXT_BLOCK, F.lit(0))
+        return F.substring(F.get(blocks, b), first + 1, end - b * TEXT_BLOCK - first)
+
+    inside = F.sequence((start / TEXT_BLOCK).cast("int"), ((end - 1) / TEXT_BLOCK).cast("int"))
+    return F.when(end > start, F.array_join(F.transform(inside, piece), "")).otherwise("")
 
 
 def _digits(value: Column) -> Column:
@@ -87,22 +132,23 @@ def base_spans(text: Column) -> Column:
 def _contexts(text: Column, spans: Column) -> Column:
     """For each value: itself, and the words of at least four letters within ``REACH`` of it, with their places."""
 
-    def near(span: Column) -> Column:
+    def moved(words: Column, by: Column) -> Column:
+        return F.transform(words, lambda w: F.struct(F.lower(w["value"]).alias("word"), (w["start"] + by).alias("start"), (w["end"] + by).alias("end")))
+
+    def near(span: Column, blocks: Column) -> Column:
         first = F.greatest(span["start"] - REACH, F.lit(0))
-        left = F.substring(text, first + 1, span["start"] - first)
-        right = F.substring(text, span["end"] + 1, F.lit(REACH))
-        before = F.filter(matches(left, WORD, TERM), lambda w: (w["start"] > 0) | (first == 0))
-        after = F.filter(matches(right, WORD, TERM), lambda w: w["end"] < REACH)
+        entity = F.concat(F.get(F.array(*map(F.lit, KINDS)), span["kind"]), F.lit(":"), F.lower(span["value"]))
 
-        def moved(words: Column, by: Column) -> Column:
-            return F.transform(words, lambda w: F.struct(F.lower(w["value"]).alias("word"), (w["start"] + by).alias("start"), (w["end"] + by).alias("end")))
+        def around(s: Column) -> Column:
+            before = F.filter(matches(s["left"], WORD, TERM), lambda w: (w["start"] > 0) | (first == 0))
+            after = F.filter(matches(s["right"], WORD, TERM), lambda w: w["end"] < REACH)
+            words = F.concat(moved(before, first), moved(after, span["end"]))
+            return F.struct(entity.alias("entity"), F.xxhash64(s["left"], s["right"]).alias("context"), words.alias("words"))
 
-        entity = F.concat(F.get(F.array(*map(F.lit, KINDS)), span["kind"]), F.lit(":"), F.lower(span["value"]))
-        return F.struct(
-            entity.alias("entity"), F.xxhash64(left, right).alias("context"), F.concat(moved(before, first), moved(after, span["end"])).alias("words")
-        )
+        left, right = _part(blocks, first, span["start"]), _part(blocks, span["end"], span["end"] + REACH)
+        return _bound(F.struct(left.alias("left"), right.alias("right")), around)
 
-    return F.when(F.size(spans) > 0, F.transform(spans, near))
+    return F.when(F.size(spans) > 0, _bound(_blocks(text), lambda blocks: F.transform(spans, lambda span: near(span, blocks))))
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -167,18 +213,22 @@ def find_personal_data(docs: DataFrame, support: int = SUPPORT, share: float = S
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span, or chain of overlapping ones, as the label of the first."""
+    """The text with each span, or chain of overlapping ones, as the label of the first; ``spans`` are sorted."""
     labels = F.array(*(F.lit(f"[{name.upper()}]") for name in (*KINDS, "term")))
 
-    def step(acc: Column, span: Column) -> Column:
-        between = F.substring(text, acc["at"] + 1, F.greatest(span["start"] - acc["at"], F.lit(0)))
-        label = F.when(span["start"] >= acc["at"], F.get(labels, span["kind"])).otherwise("")
-        inside = span["end"] <= acc["at"]
-        return F.struct(F.greatest(acc["at"], span["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], between, label)).alias("out"))
+    def replaced(x: Column) -> Column:
+        def piece(span: Column, reached: Column) -> Column:
+            return F.when(span["start"] >= reached, F.concat(_part(x["blocks"], reached, span["start"]), F.get(labels, span["kind"]))).otherwise("")
+
+        before = F.slice(F.concat(F.array(F.lit(0)), x["reached"]), F.lit(1), F.size(x["spans"]))
+        last = _part(x["blocks"], F.element_at(x["reached"], -1), x["n"])
+        return F.concat(F.array_join(F.zip_with(x["spans"], before, piece), ""), last)
+
+    def whole(s: Column) -> Column:
+        reached = _bound(F.transform(s, lambda x: x["end"]), lambda ends: _scan(ends, F.greatest))
+        return _bound(F.struct(s.alias("spans"), reached.alias("reached"), _blocks(text).alias("blocks"), F.length(text).alias("n")), replaced)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    return _bound(spans, lambda s: F.when(F.size(s) > 0, whole(s)).otherwise(text))
 
 
 def sanitise(docs: DataFrame, support: int = SUPPORT, share: float = SHARE, key: str = "doc_id", text: str = "text", chars: str = "n_chars") -> DataFrame:

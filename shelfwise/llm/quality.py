@@ -179,14 +179,16 @@ def _calibrate(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text") -> Model | None:
-    """The model, or None where the labels do not hold both kinds. Of contradictory labels the lower counts."""
+    """The model, or None where the labels do not hold both kinds. Of contradictory labels the lower counts, of texts
+    under one id the first in order, so however often an id repeats, the sample keeps its bound."""
     wanted = (
         labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
         .groupBy(F.col(key).cast("long").alias("_id")).agg(F.min("quality").alias("_label"))
         .orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
     )
     slim = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
-    rows = slim.join(F.broadcast(wanted), "_id").select("_id", "_text", F.col("_label").cast("int"))
+    labelled = slim.join(F.broadcast(wanted), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    rows = labelled.select("_id", "_text", F.col("_label").cast("int"))
 
     def hashed(batches):
         for batch in batches:

@@ -321,6 +321,16 @@ def test_personal_data_awkward(spark):
     assert pii.find_personal_data(empty(spark)).count() == 0 and pii.sanitise(empty(spark)).count() == 0
 
 
+def test_long_text_with_many_values(spark):
+    lines = [f"wörd{k} mail{k}@host.example.com lorem ipsum 10.0.{k % 256}.7 dolor" for k in range(600)]
+    frame = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
+    found = pii.find_personal_data(frame).first()
+    starts = [int(s.split(":")[1]) for s in found["spans"].split(",")]
+    assert found["n_email"] == found["n_ip"] == 600 and starts == sorted(starts)
+    clean = "\n".join(f"wörd{k} [EMAIL] lorem ipsum [IP] dolor" for k in range(600))
+    assert pii.sanitise(frame).first()["text"] == clean
+
+
 def test_overlapping_spans_become_one_label(spark):
     frame = spark.createDataFrame([(1, "call +4111 1111 1111 1111 or 1.2.3.4@host.example now")], "doc_id long, text string")
     assert pii.sanitise(frame).first()["text"] == "call +[CARD] or [EMAIL] now"
@@ -460,6 +470,15 @@ def test_quality_awkward(spark):
     assert quality.judge(empty(spark), None).count() == 0
 
 
+def test_repeated_ids_do_not_widen_the_sample(spark, monkeypatch):
+    rows = [(k % 20, f"text {k % 3} of the id") for k in range(400)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit_rows", seen.extend)
+    quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert len(seen) == 20
+
+
 def test_contradictory_labels_count_as_bad(spark):
     docs = spark.createDataFrame([(k, "good words here " * 20 if k % 2 else "### ||| $$$ " * 30) for k in range(40)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)] + [(None, 1, 0), (3, None, 0), (4, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int")
