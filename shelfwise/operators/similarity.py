@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.arrays import dot, unit
 from shelfwise.operators.relational import few, items_of, keep_keys
 
-SALTS = 8
+ROWS_PER_SLICE = 100_000  # purchases of one user that may meet the target items in one task
 
 
 def against_target(
@@ -94,32 +94,35 @@ def cosine_from_counts(table: DataFrame) -> Column:
     return F.try_divide(table["n_shared"], F.sqrt(table["n_items"] * table["n_target"]))
 
 
-def _beside_target_items(weighted: DataFrame, items: DataFrame, salts: int) -> DataFrame:
+def _beside_target_items(weighted: DataFrame, items: DataFrame, per_slice: int) -> DataFrame:
     """``(a, b, wa, wb)``: purchases of target items beside each other purchase of the same user.
 
-    Only rows on target items stand on the left. A heavy user's purchases are spread over
-    ``salts`` tasks by item, and the few left rows are repeated for each of them.
+    Only rows on target items stand on the left. A user with more than ``per_slice`` purchases is cut by item into as
+    many slices as the count asks for, and that user's left rows are repeated for each; all others stay as they are.
     """
-    left = keep_keys(weighted, items, "i").select(
-        "u", F.col("i").alias("a"), F.col("w").alias("wa"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    counts = weighted.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / per_slice).cast("int").alias("slices"))
+    heavy = few(counts.where("slices > 1"))
+    slices = F.coalesce("slices", F.lit(1))
+    left = keep_keys(weighted, items, "i").join(heavy, "u", "left").select(
+        "u", F.col("i").alias("a"), F.col("w").alias("wa"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice")
     )
-    right = weighted.select(
-        "u", F.col("i").alias("b"), F.col("w").alias("wb"), F.pmod(F.xxhash64("i"), F.lit(salts)).cast("int").alias("salt")
+    right = weighted.join(heavy, "u", "left").select(
+        "u", F.col("i").alias("b"), F.col("w").alias("wb"), F.pmod(F.xxhash64("i"), slices).cast("int").alias("slice")
     )
-    return left.join(right, ["u", "salt"]).where(F.col("a") != F.col("b"))
+    return left.join(right, ["u", "slice"]).where(F.col("a") != F.col("b"))
 
 
 def _sizes(pairs: DataFrame, item: str, size: str) -> DataFrame:
     return pairs.groupBy(F.col("i").alias(item)).agg(F.count(F.lit(1)).alias(size))
 
 
-def item_cosine(pairs: DataFrame, items: DataFrame, salts: int = SALTS) -> DataFrame:
+def item_cosine(pairs: DataFrame, items: DataFrame, per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """``(a, b, score)``: cosine of 0/1 user columns of each given item ``a`` with each item ``b``.
 
     Pairs without a common user have cosine 0 and are not listed.
     """
     own = few(_sizes(keep_keys(pairs, items, "i"), "a", "na"))
-    both = _beside_target_items(pairs.withColumn("w", F.lit(1.0)), items, salts)
+    both = _beside_target_items(pairs.withColumn("w", F.lit(1.0)), items, per_slice)
     shared = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"))
     return (
         shared.join(own, "a").join(_sizes(pairs, "b", "nb"), "b")
@@ -127,9 +130,9 @@ def item_cosine(pairs: DataFrame, items: DataFrame, salts: int = SALTS) -> DataF
     )
 
 
-def corated_cosine(weighted: DataFrame, items: DataFrame, factor: float = 0.5, salts: int = SALTS) -> DataFrame:
+def corated_cosine(weighted: DataFrame, items: DataFrame, factor: float = 0.5, per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """``(a, b, score)``: ``factor`` times the cosine over the users who rated both items."""
-    both = _beside_target_items(weighted, items, salts)
+    both = _beside_target_items(weighted, items, per_slice)
     sums = both.groupBy("a", "b").agg(
         F.sum(F.col("wa") * F.col("wb")).alias("ab"),
         F.sum(F.col("wa") * F.col("wa")).alias("aa"),
