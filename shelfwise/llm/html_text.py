@@ -3,8 +3,9 @@
 Every page's DOM tree, with neighbouring siblings of one label folded into one slot, is merged into its host's tree
 by simple tree matching: two children match when their labels are equal and the order-preserving matching with most
 matched nodes pairs them. A slot whose text is the same on all the host's pages is template, a slot whose text varies
-is content. Partitions merge their own pages first, so the shuffle carries one small tree per partition and host, and
-a host with a third of all pages is merged in two steps.
+is content. Copies of a page count once: a slot keeps a few digests of the whole pages that show it, so only pages that
+differ elsewhere make it template. Partitions merge their own pages first, so the shuffle carries one small tree per
+partition and host, and a host with a third of all pages is merged in two steps.
 
 Extraction drops template slots and the elements that are no article by their meaning: menus, page headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments. Where a page marks its article, only that counts.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import durable
 
-#: Pages of a host that must show a slot before its constant text counts as template.
+#: Different pages of a host that must show a slot before its constant text counts as template.
 LEAST_PAGES = 8
 #: Trees of so many bytes in all go to every executor; more are joined by shuffle.
 BROADCAST_BYTES = 32 << 20
@@ -132,7 +133,10 @@ def words(text: str) -> str:
 
 
 def tree_of(page: str) -> list:
-    """The folded tree ``[label, pages, text digest, varies, kids]``; a label is a tag, marked where it is excluded."""
+    """The folded tree ``[label, pages, text digest, varies, kids, seen]``; a label is a tag, marked where it is excluded.
+
+    ``seen`` of a slot with text holds the digest of the whole page: its tags and the texts of all its slots.
+    """
     root = Node("#")
     path, skip = [root], 0
     for event in walk(page):
@@ -149,7 +153,18 @@ def tree_of(page: str) -> list:
                 path.pop()
         elif event[0] == "text" and not skip:
             path[-1].texts.append(event[1])
-    return _folded(root)
+    return _stamped(_folded(root))
+
+
+def _stamped(tree: list) -> list:
+    page = hashlib.md5(json.dumps(tree).encode()).hexdigest()[:12]
+    waiting = [tree]
+    while waiting:
+        node = waiting.pop()
+        if node[2]:
+            node[5] = [page]
+        waiting += node[4]
+    return tree
 
 
 def _folded(node: Node) -> list:
@@ -160,7 +175,7 @@ def _folded(node: Node) -> list:
         else:
             kids.append(kid)
     text = words(" ".join(node.texts))
-    return [node.label, 1, hashlib.md5(text.encode()).hexdigest()[:12] if text else "", False, kids]
+    return [node.label, 1, hashlib.md5(text.encode()).hexdigest()[:12] if text else "", False, kids, []]
 
 
 def _same(a: list, b: list) -> int:
@@ -202,18 +217,19 @@ def merge(a: list, b: list, fold: bool = False) -> list:
     kids = [merge(x, y, fold) if x and y else (x or y) for x, y in _aligned(a[4], b[4])]
     if fold:
         text = hashlib.md5((a[2] + b[2]).encode()).hexdigest()[:12] if a[2] or b[2] else ""
-        return [a[0], 1, text, False, kids]
-    return [a[0], a[1] + b[1], a[2], a[3] or b[3] or a[2] != b[2], kids]
+        return [a[0], 1, text, False, kids, []]
+    varies = a[3] or b[3] or a[2] != b[2]
+    return [a[0], a[1] + b[1], a[2], varies, kids, [] if varies else sorted({*a[5], *b[5]})[:LEAST_PAGES]]
 
 
 def template_paths(tree: list, least: int = LEAST_PAGES) -> set[str]:
-    """Paths of slots that are template wherever the path leads: same text on all of at least ``least`` pages."""
+    """Paths of slots that are template wherever the path leads: same text on all of at least ``least`` different pages."""
     constant: dict[str, bool] = {}
 
     def visit(node: list, path: str) -> None:
         path = f"{path}/{node[0]}"
         if node[2] or node[3]:
-            constant[path] = constant.get(path, True) and not node[3] and node[1] >= least
+            constant[path] = constant.get(path, True) and not node[3] and len(node[5]) >= least
         for kid in node[4]:
             visit(kid, path)
 

@@ -522,6 +522,17 @@ def test_constant_slots_become_template(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_make_no_template(spark):
+    same = "<body><div><p>Note</p></div><section><h2>One title</h2><p>One body</p></section></body>"
+    rows = [(k, f"http://copies.example.com/{k}", same) for k in range(20)]
+    rows += [(100 + k, f"http://h.example.com/{k}", f"<body><div>Join us</div><section><p>Body {k}</p></section></body>") for k in range(40)]
+    rows += [(200 + k, f"http://h.example.com/q{k}", "<body><div>Join us</div><section><p>Quoted</p><blockquote>Said once</blockquote></section></body>") for k in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    texts = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    assert {texts[k] for k in range(20)} == {"Note\nOne title\nOne body"}
+    assert all(texts[100 + k] == f"Body {k}" for k in range(40)) and {texts[200 + k] for k in range(9)} == {"Quoted\nSaid once"}
+
+
 def test_tree_matching_keeps_order():
     a, b = html_text.tree_of("<ul><li>1</li></ul><p>x</p><table></table>"), html_text.tree_of("<p>y</p><ul></ul><table><tr></tr></table>")
     merged = html_text.merge(a, b)
