@@ -537,3 +537,20 @@ def test_tree_matching_keeps_order():
     a, b = html_text.tree_of("<ul><li>1</li></ul><p>x</p><table></table>"), html_text.tree_of("<p>y</p><ul></ul><table><tr></tr></table>")
     merged = html_text.merge(a, b)
     assert [k[0] for k in merged[4]].count("table") == 1 and merged[1] == 2 and html_text._same(a, b) == 3
+
+
+def test_random_values_glued_to_prose():
+    import random
+
+    draw, coder = random.Random(6), library()
+    value = lambda n: "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    for before, after, n in (("authorization_header_value=", "", 20), ("production/database/credentials=", "", 24), ("customer_download_link/", "/of_the_customer", 20), ("", "", 16)):
+        hit = 0
+        for _ in range(200):
+            text = f"see {before}{value(n)}{after} now"
+            found = secrets.random_spans(text, secrets.base_spans(text), coder, secrets.RATIO)
+            hit += any(start < 4 + len(before) + n // 2 < end for start, _, end in found)
+        assert hit >= 195, before
+    assert [s[1] for s in secrets.random_spans("0123456789abcdef_q7Zt9XkP2mWvB4rLs8Nc", [(0, "hex", 16)], coder, secrets.RATIO)] == ["random"]
+    for text in ("id=123e4567-e89b-12d3-a456-426614174000", "md5=D41D8CD98F00B204E9800998ECF8427E", "src/main/java/org/example/Application"):
+        assert secrets.random_spans(text, [], coder, secrets.RATIO) == [], text
