@@ -8,7 +8,8 @@ differ elsewhere make it template. Partitions merge their own pages first, so th
 partition and host, and a host with a third of all pages is merged in two steps.
 
 Extraction drops template slots and the elements that are no article by their meaning: menus, page headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments. Where a page marks its article, only that counts.
+sidebars, notices, adverts, forms, scripts, styles and reader comments. Where a page marks its article, only that counts,
+and inside it classes, ids and roles speak only as whole names of known widgets.
 """
 
 from __future__ import annotations
@@ -49,6 +50,17 @@ NO_ARTICLE_NAMES = frozenset(
     "breadcrumb breadcrumbs footer sidebar aside widget cookie cookies consent notice popup modal newsletter subscribe share sharing "
     "social related comment comments discussion disqus respond reviews complementary contentinfo".split()
 )
+#: Whole names of widgets that stand inside articles; words that may name a part of the article are left out.
+WIDGET_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising adsense adsbygoogle banner promo ad-slot ad-container ad-wrapper ad-unit ad-banner banner-ad "
+    "sponsored sponsored-content nav navbar navigation breadcrumb breadcrumbs sidebar widget cookie-notice cookie-banner "
+    "cookie-consent cookie-bar popup modal newsletter newsletter-signup newsletter-form newsletter-box subscribe subscribe-form "
+    "subscribe-box share sharing share-buttons share-bar share-links share-tools sharedaddy addthis_toolbox social social-share "
+    "social-links social-icons social-buttons social-media related related-posts related-articles related-links related-content "
+    "comment comments comment-list comment-form comments-area comment-respond disqus disqus_thread complementary contentinfo".split()
+)
+#: Elements whose id names their subject, as the target of a link to it.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 PAGE_HEADERS = frozenset({"header", "masthead", "topbar", "site-header", "page-header"})
 
 TAG = re.compile(
@@ -56,7 +68,7 @@ TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)(?:>|\Z|(?=<))|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
-NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
 def excluded(tag: str, attributes: str, in_article: bool) -> bool:
@@ -64,12 +76,18 @@ def excluded(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     if tag in ("html", "body", "main", "article") or not attributes:
         return False
-    for quoted, single, bare in NAMED.findall(attributes):
+    for kind, quoted, single, bare in NAMED.findall(attributes):
+        if tag in TITLED and kind.lower() == "id":
+            continue
         for name in (quoted or single or bare).lower().split():
+            if in_article:
+                if name in WIDGET_NAMES:
+                    return True
+                continue
             ends = re.split(r"[-_]+", name)
             if name in NO_ARTICLE_NAMES or ends[0] in NO_ARTICLE_NAMES or ends[-1] in NO_ARTICLE_NAMES - {"aside", "related", "reviews"}:
                 return True
-            if name in PAGE_HEADERS and not in_article:
+            if name in PAGE_HEADERS:
                 return True
     return False
 

@@ -554,3 +554,13 @@ def test_random_values_glued_to_prose():
     assert [s[1] for s in secrets.random_spans("0123456789abcdef_q7Zt9XkP2mWvB4rLs8Nc", [(0, "hex", 16)], coder, secrets.RATIO)] == ["random"]
     for text in ("id=123e4567-e89b-12d3-a456-426614174000", "md5=D41D8CD98F00B204E9800998ECF8427E", "src/main/java/org/example/Application"):
         assert secrets.random_spans(text, [], coder, secrets.RATIO) == [], text
+
+
+def test_names_inside_an_article():
+    kept = ["section id='discussion'", "h2 id='discussion'", "h3 id='comments'", "div class='social-policy'", "ul class='menu-of-the-day'", "div class='comment-on-results'",
+            "p id='notice'", "div id='share-price'", "div class='ad-hoc-networks'", "div data-id='ads'"]
+    gone = ["div class='share-buttons'", "div id='comments'", "div class='x ad'", "div role='navigation'", "section class='related-posts'", "aside"]
+    for element in [*kept, *gone]:
+        text = html_text.main_text(f"<article><p>One</p><{element}>two</{element.split()[0]}><p>three</p></article>")
+        assert text.split() == (["One", "two", "three"] if element in kept else ["One", "three"]), element
+    assert html_text.main_text("<div class='site-nav'>menu</div><h2 id='discussion'>Talk</h2><p>of it") == "Talk\nof it"
