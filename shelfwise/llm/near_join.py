@@ -134,10 +134,9 @@ class _Forest:
         return x != y
 
 
-def _likely(node: np.ndarray, checks: np.ndarray, side: np.ndarray, least: list[int]):
-    """Forest edges of one bucket or block pair; with two blocks (``side`` 0 and 1) only pairs across them count."""
+def _likely(node: np.ndarray, checks: np.ndarray, side: np.ndarray, two: bool, least: list[int]):
+    """Forest edges of one block, or of ``two`` blocks (``side`` 0 and 1), where only pairs across them count."""
     roots, edges = np.arange(len(node)), []
-    two = side.max() > side.min() if len(side) else False
     for x in np.flatnonzero(side == 0) if two else range(len(node) - 1):
         others = np.flatnonzero((roots != roots[x]) & (side == 1)) if two else x + 1 + np.flatnonzero(roots[x + 1 :] != roots[x])
         equal = np.zeros(len(others), np.int64)
@@ -168,6 +167,11 @@ def _rows_by_group(table: pa.Table, names: list[str]):
             yield table.slice(start, end - start)
 
 
+def _of_two(rows: pa.Table) -> bool:
+    """Whether a group is a pair of two blocks, one of which may be empty, and not one block with itself."""
+    return rows["i"][0].as_py() != rows["j"][0].as_py()
+
+
 def _edge_table(edges) -> pa.Table:
     a, b = zip(*edges, strict=True) if edges else ((), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -179,7 +183,7 @@ def _in_buckets(least: list[int]):
         for rows in _rows_by_group(table, ["band", "i", "j"]):
             if rows.num_rows > 1:
                 checks = np.frombuffer(b"".join(rows["checks"].to_pylist()), np.uint8).reshape(-1, CHECKS)
-                edges += _likely(rows["node"].to_numpy(), checks, rows["side"].to_numpy(), least)
+                edges += _likely(rows["node"].to_numpy(), checks, rows["side"].to_numpy(), _of_two(rows), least)
         return _edge_table(edges)
 
     return compare
@@ -266,8 +270,10 @@ def _verify(threshold: float):
             if rows.num_rows < 2:
                 continue
             node, side = rows["node"].to_numpy(), rows["side"].to_numpy()
+            two = _of_two(rows)
+            if two and side.max() == side.min():
+                continue
             sets = [shingles.of(t) for t in rows["words"].to_pylist()]
-            two = side.max() > side.min()
             left = np.flatnonzero(side == 0) if two else np.arange(len(node))
             right = np.flatnonzero(side == 1) if two else left
             common = _common([sets[k] for k in left], [sets[k] for k in right])

@@ -564,3 +564,15 @@ def test_names_inside_an_article():
         text = html_text.main_text(f"<article><p>One</p><{element}>two</{element.split()[0]}><p>three</p></article>")
         assert text.split() == (["One", "two", "three"] if element in kept else ["One", "three"]), element
     assert html_text.main_text("<div class='site-nav'>menu</div><h2 id='discussion'>Talk</h2><p>of it") == "Talk\nof it"
+
+
+@pytest.mark.parametrize("shingles_of_a_block", [64, 4096])
+def test_links_of_few_long_texts_count_once(spark, shingles_of_a_block, monkeypatch):
+    monkeypatch.setattr(near_join, "BLOCK_SHINGLES", shingles_of_a_block)
+    made = {}
+    for k in range(12):  # pairs of two near copies, each cut into many blocks, most of them empty
+        words = [f"w{k}x{j}" for j in range(400)]
+        made[2 * k], made[2 * k + 1] = " ".join(words), " ".join([*words[:-1], "other"])
+    frame = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    rows = near_join.near_duplicates(frame).select("doc_id", "class_id", "n_links").collect()
+    assert many(rows) == many((d, d - d % 2, 1) for d in made)
