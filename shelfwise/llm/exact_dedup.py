@@ -170,6 +170,13 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 
 
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns."""
-    gone = exact_duplicates(docs, key, text).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[key].cast("long").eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns; of an id with several texts each is judged.
+
+    Rows without an id share one verdict: where one is a copy, all go.
+    """
+    gone = exact_duplicates(docs, key, text).where(~F.col("kept")).select(
+        F.col("doc_id").alias("_gone"), F.when(F.col("doc_id").isNotNull(), F.unhex("text_sha256")).alias("_gone_sha")
+    ).distinct()
+    own = docs[key].cast("long")
+    sha = F.when(own.isNotNull(), F.unhex(F.sha2(normalised(docs[text]), 256)))
+    return docs.join(gone, own.eqNullSafe(gone["_gone"]) & sha.eqNullSafe(gone["_gone_sha"]), "left_anti")

@@ -576,3 +576,8 @@ def test_links_of_few_long_texts_count_once(spark, shingles_of_a_block, monkeypa
     frame = spark.createDataFrame(list(made.items()), "doc_id long, text string")
     rows = near_join.near_duplicates(frame).select("doc_id", "class_id", "n_links").collect()
     assert many(rows) == many((d, d - d % 2, 1) for d in made)
+
+
+def test_of_an_id_with_two_texts_only_the_copy_goes(spark):
+    frame = spark.createDataFrame([(1, "some text"), (2, "some  text"), (2, "a text of its own"), (3, None), (3, "other"), (4, "")], "doc_id long, text string")
+    assert many(exact_dedup.drop_duplicates(frame).collect()) == many([(1, "some text"), (2, "a text of its own"), (3, None), (3, "other")])
