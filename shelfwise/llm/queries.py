@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfwise.llm import byte_bpe, exact_dedup, html_text, licences, near_join, packing, pii, quality, secrets, url_filter
+from shelfwise.llm import byte_bpe, divergence, exact_dedup, html_text, licences, near_join, packing, pii, quality, secrets, url_filter
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 
@@ -74,9 +74,14 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_packing, op3_url_filter, op4_secrets, op5_byte_bpe, op6_pii, op7_jaccard_join, op8_licences, op9_quality, op10_html_text)
+    for f in (op1_exact_dedup, op2_packing, op3_url_filter, op4_secrets, op5_byte_bpe, op6_pii, op7_jaccard_join, op8_licences, op9_quality, op10_html_text,
+              op13_divergence)
 } | {"pipeline": corpus_pipeline.run}
 
 _URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?(/[^?#]*)?"
@@ -110,6 +115,28 @@ LLM_ORACLES = {
           FROM act GROUP BY url, ts)
         SELECT c.page_id, c.url, c.ts, coalesce(n, 0) AS n_active, best.entry, best.since FROM c LEFT JOIN best ON best.url = c.url AND best.ts = c.ts
         """,
+    "op13_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+        t AS (SELECT row, lang, source, unnest(regexp_extract_all(low, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        v AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS n FROM kept GROUP BY lang),
+        s AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0)::BIGINT AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+        p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // (s.n + v.v) AS p,
+              1 + 1000000000 * (k.n + 1) // (v.n + v.v) AS q
+            FROM s JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+        pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+            ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+        every AS (SELECT lang, source, 'pair' AS part, item, value FROM pair UNION ALL
+          SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+        FROM every QUALIFY part = 'pair' OR rank <= 200
+        """,
 }
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
