@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfwise.llm import byte_bpe, divergence, exact_dedup, html_text, licences, near_join, packing, pii, quality, secrets, url_filter
+from shelfwise.llm import byte_bpe, collocations, divergence, exact_dedup, html_text, licences, near_join, packing, pii, quality, secrets, url_filter
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 
@@ -74,6 +74,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(_table(spark, sf_dir, "documents"))
 
@@ -81,7 +85,7 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     f.__name__: f
     for f in (op1_exact_dedup, op2_packing, op3_url_filter, op4_secrets, op5_byte_bpe, op6_pii, op7_jaccard_join, op8_licences, op9_quality, op10_html_text,
-              op13_divergence)
+              op12_collocations, op13_divergence)
 } | {"pipeline": corpus_pipeline.run}
 
 _URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?(/[^?#]*)?"
@@ -115,6 +119,29 @@ LLM_ORACLES = {
           FROM act GROUP BY url, ts)
         SELECT c.page_id, c.url, c.ts, coalesce(n, 0) AS n_active, best.entry, best.since FROM c LEFT JOIN best ON best.url = c.url AND best.ts = c.ts
         """,
+    "op12_collocations": r"""
+        WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+        pieces AS (SELECT row, lang, unnest(string_split_regex(low, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+        numbered AS (SELECT lang, row_number() OVER () AS nr, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM pieces),
+        w AS (SELECT lang, nr, unnest(words) AS word, unnest(range(len(words))) AS i FROM numbered),
+        n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+        g AS (SELECT lang, word, lead(word, 1) OVER o AS second, lead(word, 2) OVER o AS third FROM w WINDOW o AS (PARTITION BY nr ORDER BY i)),
+        f AS (SELECT lang, k, phrase, count(*) AS a FROM (
+            SELECT lang, 1 AS k, word AS phrase FROM g UNION ALL
+            SELECT lang, 2, word || ' ' || second FROM g WHERE second IS NOT NULL UNION ALL
+            SELECT lang, 3, word || ' ' || second || ' ' || third FROM g WHERE third IS NOT NULL)
+          GROUP BY lang, k, phrase HAVING count(*) >= 10),
+        c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+        cut AS (SELECT c.lang, c.phrase, c.a, j, l.a AS l, r.a AS r, ((1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+          FROM (SELECT c.*, j, array_to_string(words[1:j], ' ') AS lp, array_to_string(words[j + 1:], ' ') AS rp FROM c, range(1, 3) AS t(j) WHERE j < k) c
+          JOIN f l ON l.lang = c.lang AND l.phrase = lp JOIN f r ON r.lang = c.lang AND r.phrase = rp),
+        low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        part AS (SELECT lang, array_to_string(words[i:i + 1], ' ') AS phrase, max(a) AS a FROM c, range(1, 3) AS t(i) WHERE k = 3 GROUP BY ALL),
+        free AS (SELECT low.* FROM low LEFT JOIN part p ON p.lang = low.lang AND p.phrase = low.phrase WHERE p.a IS NULL OR 100 * p.a < 50 * low.a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM free JOIN n USING (lang) QUALIFY rank <= 2000
+        """,
     "op13_divergence": r"""
         WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
