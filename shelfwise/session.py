@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,4 +65,10 @@ def release(*tables: DataFrame) -> None:
                 where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Let the driver's JVM collect, so that Spark removes the shuffle files of finished steps, which nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 atexit.register(release)
