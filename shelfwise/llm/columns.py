@@ -8,7 +8,7 @@ import zstandard
 
 def packed(values: np.ndarray) -> bytes:
     """The bytes of all values by significance, compressed; the high bytes of small numbers cost almost nothing."""
-    rows = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)
+    rows = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize)
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(rows.T).tobytes())
 
 

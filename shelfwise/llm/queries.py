@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfwise.llm import byte_bpe, collocations, divergence, exact_dedup, html_text, licences, near_join, packing, pii, quality, secrets, url_filter
+from shelfwise.llm import byte_bpe, collocations, divergence, exact_dedup, html_text, licences, near_join, packing, pii, quality, secrets, suffix_dedup, url_filter
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 
@@ -74,6 +74,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
@@ -85,7 +91,7 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     f.__name__: f
     for f in (op1_exact_dedup, op2_packing, op3_url_filter, op4_secrets, op5_byte_bpe, op6_pii, op7_jaccard_join, op8_licences, op9_quality, op10_html_text,
-              op12_collocations, op13_divergence)
+              op11_suffix_dedup, op12_collocations, op13_divergence)
 } | {"pipeline": corpus_pipeline.run}
 
 _URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?(/[^?#]*)?"

@@ -15,7 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert [n.split("_")[0] for n in LLM_QUERIES] == [*(f"op{k}" for k in (*range(1, 11), 12, 13)), "pipeline"] and set(LLM_ORACLES) <= set(LLM_QUERIES)
+    assert [n.split("_")[0] for n in LLM_QUERIES] == [*(f"op{k}" for k in range(1, 14)), "pipeline"] and set(LLM_ORACLES) <= set(LLM_QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
 
 
