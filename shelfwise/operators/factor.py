@@ -1,80 +1,14 @@
-"""Matrix factors: PCA and SVD of tables.
-
-Three ways to an SVD, chosen by the number of columns:
-
-* up to ``GRAM_COLUMNS``: Spark adds up the Gram matrix over the executors, the driver solves that
-  one bounded matrix, and the whole spectrum is exact;
-* up to ``LANCZOS_COLUMNS``: Spark's ``computeSVD``, whose driver state is a few vectors of that
-  length;
-* beyond: block power iteration on tables, where only matrices of a dozen columns reach the driver.
-"""
+"""Matrix factors of tables of any width: SVD and PCA by block Krylov steps (see ``krylov``)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
-import pandas as pd
-from pyspark.ml.feature import PCA, CountVectorizerModel, PCAModel
-from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.ids import dense_index
-from shelfwise.session import durable, release
-
-GRAM_COLUMNS = 4096
-LANCZOS_COLUMNS = 65_535
-ROWS_PER_SLICE = 100_000  # entries of one hot row or column that may meet in one task
-NOISE = 1e-6  # singular values below this share of the first are rounding noise
-
-
-def pca(df: DataFrame, vector: str, k: int, out: str = "components") -> tuple[DataFrame, PCAModel]:
-    """Project onto the first ``k`` principal directions (rows are not centred, as in Spark ML)."""
-    model = PCA(k=k, inputCol=vector, outputCol=out).fit(df)
-    return model.transform(df), model
-
-
-@dataclass
-class NarrowSvd:
-    """SVD of a table of bounded width: singular values and the ``columns x k`` matrix V."""
-
-    s: np.ndarray
-    v: np.ndarray
-
-    def scores(self, vector: Column) -> Column:
-        """Row of U.S for a dense row (array): its products with the columns of V."""
-        return F.array(
-            *(
-                F.aggregate(
-                    F.zip_with(vector, F.lit([float(x) for x in self.v[:, j]]), lambda a, b: a * b),
-                    F.lit(0.0),
-                    lambda acc, x: acc + x,
-                )
-                for j in range(self.v.shape[1])
-            )
-        )
-
-
-def narrow_svd(df: DataFrame, key: str, vector: str, k: int) -> NarrowSvd:
-    """Leading ``k`` singular values and right vectors of ``(key, vector)`` rows."""
-    rows = MLUtils.convertVectorColumnsFromML(df.select(F.col(key).cast("long"), vector), vector).persist()
-    try:
-        matrix = IndexedRowMatrix(rows)
-        width = matrix.numCols()
-        if width > LANCZOS_COLUMNS:
-            raise ValueError(f"{width} columns; use wide_svd on (row, column, weight) entries")
-        if width <= GRAM_COLUMNS:
-            values, vectors = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
-            s, v = np.sqrt(np.maximum(values[::-1][:k], 0.0)), vectors[:, ::-1][:, :k]
-        else:
-            found = matrix.computeSVD(k, computeU=False)
-            s, v = found.s.toArray(), found.V.toArray()
-    finally:
-        rows.unpersist()
-    keep = s > NOISE * s[0]
-    return NarrowSvd(s[keep], v[:, keep])
+from shelfwise.operators.krylov import TableSvd, table_svd
+from shelfwise.session import durable
 
 
 def energy(s: np.ndarray, total: float) -> np.ndarray:
@@ -88,137 +22,38 @@ def rank_for(s: np.ndarray, total: float, share: float = 0.95) -> int | None:
     return int(reached[0]) + 1 if reached.size else None
 
 
-@dataclass
-class TableSvd:
-    """Truncated SVD of a sparse table: ``rows`` holds U.S and ``columns`` V.S as ``(key, v)``."""
-
-    rows: DataFrame
-    columns: DataFrame
-    s: np.ndarray
-    settled: bool = True  # a result that has not converged is never returned
+def vector_entries(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """The ``(row, col, w)`` entries of a vector column; zeros are left out."""
+    cells = df.select(F.col(key).cast("long").alias("row"), F.posexplode(vector_to_array(F.col(vector))).alias("col", "w"))
+    return cells.where("w <> 0").withColumn("col", F.col("col").cast("long"))
 
 
-def _packed(factors: DataFrame, key: str, width: int) -> DataFrame:
-    return factors.select(key, F.array(*(f"f{j}" for j in range(width))).alias("v"))
+def pair_svd(pairs: DataFrame, k: int, **options) -> TableSvd:
+    """SVD of the 0/1 matrix of distinct ``(row, col)`` pairs."""
+    return table_svd(pairs.distinct().withColumn("w", F.lit(1.0)), k, **options)
 
 
-def pair_svd(pairs: DataFrame, k: int) -> TableSvd:
-    """SVD of the 0/1 matrix of distinct ``(row, col)`` pairs by the way its width allows."""
-    pairs = durable(pairs)
-    index = dense_index(pairs, "col", "ix")
-    width = index.count()
-    if width > LANCZOS_COLUMNS:
-        return wide_svd(pairs.withColumn("w", F.lit(1.0)), k)
-    # A row holds at most ``width`` distinct columns, so collecting its column numbers is bounded.
-    held = pairs.join(index, "col").groupBy("row").agg(F.collect_list(F.col("ix").cast("string")).alias("held"))
-    vectorizer = CountVectorizerModel.from_vocabulary([str(j) for j in range(width)], "held", "vector")
-    found = narrow_svd(vectorizer.setBinary(True).transform(held), "row", "vector", k)
-    size = len(found.s)
-    table = pd.DataFrame(found.v, columns=[f"f{j}" for j in range(size)]).assign(ix=range(width))
-    right = index.join(pairs.sparkSession.createDataFrame(table), "ix").drop("ix")
-    left = pairs.join(right, "col").groupBy("row").agg(*(F.expr(f"sum(f{j}) AS f{j}") for j in range(size)))
-    scaled = right.select("col", *(F.expr(f"f{j} * {float(s)!r}D AS f{j}") for j, s in enumerate(found.s)))
-    return TableSvd(rows=_packed(left, "row", size), columns=_packed(scaled, "col", size), s=found.s)
+def vector_svd(df: DataFrame, key: str, vector: str, k: int, **options) -> TableSvd:
+    """SVD of the matrix whose rows are ``(key, vector)``."""
+    return table_svd(vector_entries(df, key, vector), k, **options)
 
 
-def _slices(entries: DataFrame, key: str) -> DataFrame:
-    """``(key, n_key)``: into how many slices the entries of each key are cut."""
-    return entries.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_SLICE).cast("int").alias(f"n_{key}"))
+def pca(df: DataFrame, key: str, vector: str, k: int, out: str = "components") -> tuple[DataFrame, np.ndarray]:
+    """``df`` projected onto its first ``k`` principal directions, and each direction's share of the variance.
 
-
-def _times(entries: DataFrame, factors: DataFrame, by: str, to: str, width: int) -> DataFrame:
-    """Multiply the sparse table by a factor table: join on ``by``, add up per ``to``.
-
-    ``factors`` is ``(by, n_by, f0..)``. A key with many entries lies in ``n_by`` slices; its factor
-    row is repeated once per slice.
-    """
-    sliced = factors.withColumn(f"slice_{by}", F.expr(f"explode(sequence(0, n_{by} - 1))")).drop(f"n_{by}")
-    products = entries.join(sliced, [by, f"slice_{by}"])
-    sums = [F.expr(f"sum(w * f{j}) AS f{j}") for j in range(width)]
-    return products.groupBy(to).agg(F.max(f"n_{to}").alias(f"n_{to}"), *sums)
-
-
-def _gram(factors: DataFrame, width: int) -> np.ndarray:
-    """The ``width x width`` matrix of column products, one small row to the driver."""
-    cells = [(a, b) for a in range(width) for b in range(a, width)]
-    row = factors.agg(*(F.expr(f"sum(f{a} * f{b})") for a, b in cells)).first()
-    gram = np.zeros((width, width))
-    for (a, b), value in zip(cells, row):
-        gram[a, b] = gram[b, a] = value or 0.0
-    return gram
-
-
-def _combine(factors: DataFrame, matrix: np.ndarray, *keep: str) -> DataFrame:
-    """Replace ``f0..`` by their linear combinations with the columns of a small matrix."""
-    mixed = [
-        " + ".join(f"f{i} * {float(x)!r}D" for i, x in enumerate(column)) + f" AS f{j}" for j, column in enumerate(matrix.T)
-    ]
-    return factors.selectExpr(*keep, *mixed)
-
-
-def _orthonormal(gram: np.ndarray) -> np.ndarray:
-    """Matrix turning columns with this Gram matrix into orthonormal ones; null directions go."""
-    values, vectors = np.linalg.eigh(gram)
-    keep = values > max(values[-1], 0.0) * 1e-13
-    return (vectors[:, keep] / np.sqrt(values[keep]))[:, ::-1]
-
-
-def wide_svd(
-    entries: DataFrame,
-    k: int,
-    oversample: int = 8,
-    rounds: int = 300,
-    tolerance: float = 1e-6,
-    seed: int = 42,
-    partitions: int | None = None,
-) -> TableSvd:
-    """Leading ``k`` singular factors of sparse ``(row, col, w)`` entries by block power iteration.
-
-    Both dimensions may be of any length: factors stay tables, and each half round is one join and
-    one grouped sum. The entries are laid out once by column slice and once by row slice and reused
-    every round, so a round shuffles factor rows, not entries. It stops when the values change by
-    less than ``tolerance`` of the first; values still changing after ``rounds`` are an error.
+    Columns are centred in the products only, so a sparse table stays sparse; the projected rows are not centred, as in
+    Spark ML. Directions without variance are zeros.
     """
-    spark = entries.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = k + oversample
-    entries = durable(entries)
-    columns = _slices(entries, "col")
-    by_col = (
-        entries.select("row", "col", "w").join(columns, "col").join(_slices(entries, "row"), "row")
-        .withColumn("slice_row", F.pmod(F.xxhash64("col"), F.col("n_row")).cast("int"))
-        .withColumn("slice_col", F.pmod(F.xxhash64("row"), F.col("n_col")).cast("int"))
-        .repartition(partitions, "col", "slice_col")
-        .persist()
-    )
-    by_row = by_col.repartition(partitions, "row", "slice_row").persist()
-    try:
-        signs = [f"IF((shiftright(xxhash64(col, {seed}), {j}) & 1) = 1, 1D, -1D) AS f{j}" for j in range(width)]
-        image, size = durable(columns.selectExpr("col", "n_col", *signs)), width
-        before = np.zeros(k)
-        for step in range(rounds + 1):
-            right = _combine(image, _orthonormal(_gram(image, size)), "col", "n_col")
-            size = len(right.columns) - 2
-            left = durable(_times(by_col, right, "col", "row", size))
-            values, vectors = np.linalg.eigh(_gram(left, size))
-            values, vectors = np.maximum(values[::-1][:k], 0.0), vectors[:, ::-1][:, :k]
-            s = np.sqrt(values)
-            settled = s.size == before.size and bool(np.all(np.abs(s - before) <= tolerance * s[0]))
-            if settled:
-                break
-            if step == rounds:
-                raise RuntimeError(f"singular values still change after {rounds} rounds")
-            before = s
-            release(image)
-            image = durable(_times(by_row, left, "row", "col", size))
-            release(left)
-        keep = s > NOISE * s[0]
-        s, vectors = s[keep], vectors[:, keep]
-        return TableSvd(
-            rows=_packed(_combine(left, vectors, "row"), "row", len(s)),
-            columns=_packed(_combine(right, vectors * s, "col"), "col", len(s)),
-            s=s,
-        )
-    finally:
-        by_row.unpersist()
-        by_col.unpersist()
+    entries = durable(vector_entries(df, key, vector))
+    n = df.count()
+    found = table_svd(entries, k, centre_rows=n)
+    means = entries.groupBy("col").agg((F.sum("w") / n).alias("m"), F.sum(F.col("w") * F.col("w")).alias("q"))
+    total = means.agg(F.sum(F.col("q") - n * F.col("m") * F.col("m"))).first()[0] or 0.0
+    shares = np.zeros(k)
+    if total > 0:
+        shares[: len(found.s)] = found.s**2 / total
+    blank = F.array_repeat(F.lit(0.0), k)
+    scores = found.rows.toDF("_row", "_scores")
+    filled = F.slice(F.concat(F.coalesce("_scores", F.array().cast("array<double>")), blank), 1, k)
+    projected = df.join(scores, F.col(key).cast("long") == F.col("_row"), "left").withColumn(out, array_to_vector(filled)).drop("_row", "_scores")
+    return projected, shares

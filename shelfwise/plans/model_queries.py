@@ -216,7 +216,7 @@ def kmeans_centres(t):
 
 
 def _gaussian_model(t):
-    projected, _ = factor.pca(_embeddings(t), "features", 5, out="reduced")
+    projected, _ = factor.pca(_embeddings(t), "vec_id", "features", 5, out="reduced")
     return models.estimator("gmm", k=10, seed=42, featuresCol="reduced", maxIter=20).fit(projected)
 
 
@@ -335,8 +335,8 @@ def train_val_split(t):
 
 @query("pca")
 def pca(t):
-    _, model = factor.pca(_embeddings(t), "features", 5)
-    rows = [(n + 1, float(x)) for n, x in enumerate(model.explainedVariance.toArray())]
+    _, shares = factor.pca(_embeddings(t), "vec_id", "features", 5)
+    rows = [(n + 1, float(x)) for n, x in enumerate(shares)]
     return t.spark.createDataFrame(rows, "component long, ratio double")
 
 
@@ -346,7 +346,7 @@ def _size_spectrum(t):
     bought = rel.purchases(t.orders, t.lineitem).join(sizes, "i")
     wide = rel.indicator_pivot(bought, "u", "p_size", SIZES, "size_")
     vectors = wide.select("u", array_to_vector(F.array(*wide.columns[1:])).alias("v"))
-    found = factor.narrow_svd(vectors, "u", "v", len(SIZES))
+    found = factor.vector_svd(vectors, "u", "v", len(SIZES))
     total = wide.select(sum((F.col(c) * F.col(c) for c in wide.columns[2:]), F.col(wide.columns[1]) ** 2).alias("e")).agg(F.sum("e")).first()[0]
     return found.s, len(SIZES), total
 

@@ -179,8 +179,8 @@ ROWS_3X5 = [(0, 1, 0, 7, 0), (2, 0, 3, 4, 5), (4, 0, 0, 6, 7)]
 
 
 def test_pca(spark):
-    _, model = factor.pca(vectors(spark, *ROWS_3X5), "features", 3)
-    assert [round(x, 4) for x in model.explainedVariance.toArray()] == [0.7944, 0.2056, 0.0]
+    _, shares = factor.pca(vectors(spark, *ROWS_3X5), "id", "features", 3)
+    assert [round(float(x), 4) for x in shares] == [0.7944, 0.2056, 0.0]
 
 
 @pytest.mark.parametrize(
@@ -194,7 +194,7 @@ def test_pca(spark):
     ],
 )
 def test_svd_values(spark, rows, expected):
-    found = factor.narrow_svd(vectors(spark, *rows), "id", "features", 5)
+    found = factor.vector_svd(vectors(spark, *rows), "id", "features", 5)
     assert found.s.tolist() == pytest.approx(expected, abs=1e-6)
 
 

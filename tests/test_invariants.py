@@ -121,11 +121,11 @@ def test_values_outside_a_closed_list_fail(spark):
 def test_unsettled_factors_fail(spark):
     from pyspark.sql import functions as F
 
-    from shelfwise.operators import factor
+    from shelfwise.operators import krylov
 
     entries = spark.range(40).select((F.col("id") % 8).alias("row"), (F.col("id") % 5).alias("col"), F.xxhash64("id").cast("double").alias("w"))
     with pytest.raises(RuntimeError, match="after 0 rounds"):
-        factor.wide_svd(entries, 2, rounds=0)
+        krylov.table_svd(entries, 2, rounds=0)
 
 
 @pytest.mark.parametrize("name", ["rf_classify", "dt_classify", "logreg"])

@@ -9,10 +9,11 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from shelfwise.functions.arrays import cosine, dot
-from shelfwise.operators import blocks, factor, ids, models, recommend, relational as rel, similarity as sim
+from shelfwise.operators import blocks, factor, ids, krylov, models, recommend, relational as rel, similarity as sim
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -186,26 +187,51 @@ def cosines(rows):
     return unit @ unit.T
 
 
-@pytest.mark.parametrize("way", ["gram", "lanczos", "tables"])
-def test_svd_ways_agree_with_numpy(spark, table, pairs, way, monkeypatch):
-    if way != "gram":
-        monkeypatch.setattr(factor, "GRAM_COLUMNS", 1)
-    if way == "tables":
-        monkeypatch.setattr(factor, "LANCZOS_COLUMNS", 1)
-        monkeypatch.setattr(factor, "ROWS_PER_SLICE", 10)
+@pytest.mark.parametrize("tile, width, kept", [(1 << 18, 48, 24), (40, 6, 24), (40, 5, 3)])
+def test_svd_agrees_with_numpy(spark, table, pairs, tile, width, kept, monkeypatch):
+    """In one tile and in many, in one step and in many, with restarts; the rest of the work is the same at all widths."""
+    for name, value in (("TILE", tile), ("WIDTH", width), ("KEPT", kept)):
+        monkeypatch.setattr(krylov, name, value)
     m, rows, cols = matrix_of(pairs)
     u, s, vt = np.linalg.svd(m)
     found = factor.pair_svd(table.select(F.col("u").alias("row"), F.col("i").alias("col")), 4)
-    assert found.s == pytest.approx(s[:4], rel=1e-4)
-    assert found.settled
+    assert found.s == pytest.approx(s[:4], rel=1e-9)
     got = {r["row"]: r["v"] for r in found.rows.collect()}
     ours, theirs = np.array([got[x] for x in rows]), u[:, :4] * s[:4]
-    assert np.allclose(cosines(ours), cosines(theirs), atol=2e-2)
-    low_rank = (u[:, :4] * s[:4]) @ vt[:4]
-    assert np.allclose(cosines(theirs), cosines(low_rank))
+    assert np.allclose(np.abs(ours), np.abs(theirs), atol=1e-5)
     got = {r["col"]: r["v"] for r in found.columns.collect()}
-    assert np.allclose(cosines(np.array([got[x] for x in cols])), cosines(low_rank.T), atol=2e-2)
-    assert np.sum(found.s**2) <= m.sum() + 1e-6
+    low_rank = theirs @ vt[:4]
+    assert np.allclose(cosines(np.array([got[x] for x in cols])), cosines(low_rank.T), atol=1e-5)
+
+
+def test_svd_of_close_values(spark):
+    rng = np.random.default_rng(8)
+    left, right = (np.linalg.qr(rng.normal(size=(n, 40)))[0] for n in (90, 70))
+    s = 1 - 1e-3 * np.arange(40)
+    m = (left * s) @ right.T
+    df = spark.createDataFrame([(i, j, float(m[i, j])) for i in range(90) for j in range(70)], "row long, col long, w double")
+    found = krylov.table_svd(df, 6)
+    assert found.s == pytest.approx(s[:6], rel=1e-9)
+    v = np.array([r["v"] for r in found.vectors.orderBy("col").collect()])
+    assert np.allclose(v.T @ v, np.eye(6), atol=1e-8) and np.allclose(np.abs(v), np.abs(right[:, :6]), atol=1e-4)
+
+
+def test_svd_of_low_rank_and_nothing(spark):
+    df = spark.createDataFrame([(i, j, float(i * j)) for i in range(1, 9) for j in range(1, 6)] + [(1, 1, 0.0)], "row long, col long, w double")
+    assert krylov.table_svd(df, 3).s == pytest.approx([np.sqrt(204 * 55)])
+    nothing = krylov.table_svd(df.where("row < 0"), 3)
+    assert len(nothing.s) == 0 and nothing.rows.count() == 0
+
+
+def test_pca_centres_a_sparse_table(spark):
+    rng = np.random.default_rng(9)
+    m = np.where(rng.random((60, 12)) < 0.3, rng.integers(1, 9, (60, 12)), 0).astype(float)
+    df = spark.createDataFrame([(k, Vectors.dense(r.tolist())) for k, r in enumerate(m)], ["id", "v"])
+    projected, shares = factor.pca(df, "id", "v", 4)
+    _, s, vt = np.linalg.svd(m - m.mean(axis=0))
+    assert shares == pytest.approx(s[:4] ** 2 / (s**2).sum(), rel=1e-9)
+    got = np.array([r["components"].toArray() for r in projected.orderBy("id").collect()])
+    assert np.allclose(np.abs(got), np.abs(m @ vt[:4].T), atol=1e-5)
 
 
 def test_energy_rank():
@@ -215,17 +241,6 @@ def test_energy_rank():
     assert factor.rank_for(s[:1], 14.0, 0.95) is None
 
 
-def test_narrow_scores(spark):
-    from pyspark.ml.functions import array_to_vector
-
-    rng = np.random.default_rng(3)
-    m = rng.random((8, 3))
-    df = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(m)], "id long, a array<double>")
-    found = factor.narrow_svd(df.withColumn("v", array_to_vector("a")), "id", "v", 3)
-    got = np.array([r["x"] for r in df.withColumn("x", found.scores(F.col("a"))).orderBy("id").collect()])
-    assert np.allclose(got @ got.T, m @ m.T)
-
-
 @pytest.mark.parametrize("block, strip", [(4096, 512), (7, 3)])
 def test_unseen_top(spark, table, pairs, block, strip, monkeypatch):
     monkeypatch.setattr(blocks, "BLOCK", block)
