@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import in_sample
+from shelfwise.operators.blocks import best_items
 from shelfwise.operators.ids import dense_index
 from shelfwise.session import durable
 
@@ -79,24 +81,39 @@ def rules(model: Model) -> str:
 def bayes_log_probabilities(counts: DataFrame, labels: DataFrame, key: str, classes: Sequence[int], smoothing: float = 1.0) -> DataFrame:
     """``(label, term, logprob)`` of multinomial naive Bayes from ``(key, term, n)`` counts.
 
-    Terms stay in a table: one grouped sum gives the counts of all classes side by side, and the
-    class totals and the number of terms are scalars.
+    Terms stay in a table: one grouped sum gives the counts of all classes side by side. It is written once, and the class
+    totals and the number of terms are one row of it.
     """
-    held = counts.join(labels, key)
     per_class = [F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in classes]
-    table = held.groupBy("term").agg(*per_class)
-    totals = {c: table.agg(F.sum(f"c{c}")).scalar() for c in classes}
-    width = table.agg(F.count(F.lit(1))).scalar()
+    table = durable(counts.join(labels, key).groupBy("term").agg(*per_class))
+    *totals, width = table.agg(*(F.coalesce(F.sum(f"c{c}"), F.lit(0)) for c in classes), F.count(F.lit(1))).first()
     cells = [
-        F.struct(
-            F.lit(c).alias("label"),
-            F.log((F.col(f"c{c}") + smoothing) / (totals[c] + smoothing * width)).alias("logprob"),
-        )
-        for c in classes
+        F.struct(F.lit(c).alias("label"), F.log((F.col(f"c{c}") + smoothing) / F.lit(float(total + smoothing * width))).alias("logprob"))
+        for c, total in zip(classes, totals, strict=True)
     ]
     return table.select("term", F.inline(F.array(*cells))).select("label", "term", "logprob")
 
 
+def log_priors(labels: DataFrame, classes: Sequence[int]) -> dict[int, float]:
+    """The log of each class's share of the labelled rows; a class without rows is minus infinity."""
+    *counts, total = labels.agg(*(F.count_if(F.col("label") == c) for c in classes), F.count(F.lit(1))).first()
+    return {c: math.log(n / total) if n else -math.inf for c, n in zip(classes, counts, strict=True)}
+
+
+def bayes_predict(counts: DataFrame, labels: DataFrame, table: DataFrame, priors: dict[int, float], key: str) -> DataFrame:
+    """``(key, label, prediction)``: the likeliest class of each labelled document, of equal ones the first.
+
+    Scores are the log-priors plus the log-probabilities of the terms, a join of term rows and one grouped sum. Terms that
+    the table does not know add nothing; a document without known terms has its priors alone.
+    """
+    held = counts.join(labels.select(key), key)
+    sums = held.join(table.withColumnRenamed("label", "of"), "term").groupBy(key).agg(
+        *(F.sum(F.when(F.col("of") == c, F.col("n") * F.col("logprob")).otherwise(0.0)).alias(f"s{c}") for c in priors)
+    )
+    totals = [F.struct((F.coalesce(f"s{c}", F.lit(0.0)) + F.lit(p)).alias("s"), F.lit(-c).alias("c")) for c, p in priors.items()]
+    return labels.join(sums, key, "left").select(key, "label", (-F.array_max(F.array(*totals))["c"]).cast("long").alias("prediction"))
+
+
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """``(slope, intercept, r2)`` of a least-squares line."""
     points = VectorAssembler(inputCols=[x], outputCol="features").transform(df.select(x, F.col(y).alias("label")))
@@ -194,29 +211,25 @@ class Factors:
     def _numbered(self, df: DataFrame) -> DataFrame:
         return self._number(self._number(df, "u", self.users), "i", self.items)
 
-    def _named(self, df: DataFrame, column: str, index: DataFrame) -> DataFrame:
-        return df.join(index, f"{column}_ix")
+    def predict(self, pairs: DataFrame) -> DataFrame:
+        return self.model.transform(self._numbered(pairs)).drop("u_ix", "i_ix")
 
-    def _lists(self, found: DataFrame, of: str, to: str) -> DataFrame:
-        rows = found.select(f"{of}_ix", F.posexplode("recommendations").alias("pos", "r")).select(
-            f"{of}_ix", F.col(f"r.{to}_ix"), (F.col("pos") + 1).cast("long").alias("rank"), F.col("r.rating").cast("double").alias("score")
-        )
+    def _best(self, n: int, of: str, to: str, some: DataFrame | None) -> DataFrame:
+        """Best ``n`` of the side ``to`` for each of the side ``of``, by bounds on blocks of factors."""
         index = {"u": self.users, "i": self.items}
-        named = self._named(self._named(rows, of, index[of]), to, index[to])
+        sides = {"u": self.model.userFactors, "i": self.model.itemFactors}
+        asked, offered = (sides[x].select(F.col("id").cast("long").alias(y), F.col("features").cast("array<double>").alias("v")) for x, y in ((of, "u"), (to, "i")))
+        if some is not None:
+            asked = asked.join(self._number(some, of, index[of]).select(F.col(f"{of}_ix").cast("long").alias("u")), "u", "left_semi")
+        found, _ = best_items(asked, offered, n)
         full = {"u": "user_id", "i": "item_id"}
-        return named.select(F.col(of).alias(full[of]), "rank", F.col(to).alias(full[to]), "score")
-
-    def predict(self, pairs: DataFrame) -> DataFrame:
-        return self.model.transform(self._numbered(pairs)).drop("u_ix", "i_ix")
+        left, right = (index[x].toDF(full[x], y) for x, y in ((of, "_of"), (to, "_to")))
+        return found.toDF("_of", "rank", "_to", "score").join(left, "_of").join(right, "_to").select(full[of], "rank", full[to], "score")
 
     def for_users(self, n: int, users: DataFrame | None = None) -> DataFrame:
         """Best ``n`` items per user, for all users or the given ``(u)``."""
-        if users is None:
-            return self._lists(self.model.recommendForAllUsers(n), "u", "i")
-        return self._lists(self.model.recommendForUserSubset(self._number(users, "u", self.users), n), "u", "i")
+        return self._best(n, "u", "i", users)
 
     def for_items(self, n: int, items: DataFrame | None = None) -> DataFrame:
         """Best ``n`` users per item, for all items or the given ``(i)``."""
-        if items is None:
-            return self._lists(self.model.recommendForAllItems(n), "i", "u")
-        return self._lists(self.model.recommendForItemSubset(self._number(items, "i", self.items), n), "i", "u")
+        return self._best(n, "i", "u", items)

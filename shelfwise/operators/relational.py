@@ -11,6 +11,7 @@ from shelfwise.session import durable
 
 CHUNK = 1024
 FEW = 100_000
+MOST_COLUMNS = 15_000
 
 
 def _chunk_of(size: int) -> Column:
@@ -131,13 +132,24 @@ def among(value: Column, values: Sequence) -> Column:
     return F.when(value.isNull() | value.isin(list(values)), value).otherwise(unknown)
 
 
-def indicator_pivot(
-    pairs: DataFrame, row: str, column: str, values: Sequence, prefix: str
-) -> DataFrame:
-    """0/1 matrix with one column per value of a closed list; any other value ends the job with an error."""
-    known = pairs.withColumn(column, among(F.col(column), values))
-    wide = known.groupBy(row).pivot(column, list(values)).agg(F.max(F.lit(1.0)))
-    renamed = wide.select(row, *(F.col(str(v)).alias(f"{prefix}{v}") for v in values))
+def values_of(df: DataFrame, column: str, most: int = MOST_COLUMNS) -> list | None:
+    """The distinct values of a column in their own order (numbers as numbers), or None beyond ``most``; null is no value."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    return sorted(r[0] for r in found) if len(found) <= most else None
+
+
+def indicator_pivot(pairs: DataFrame, row: str, column: str, prefix: str, most: int = MOST_COLUMNS) -> DataFrame:
+    """0/1 matrix with one column for each value that occurs, in the values' order.
+
+    The values come from a grouped pass of their own. Where there are more than ``most`` no table is wide enough: the result
+    is then the same matrix in long form, ``(row, column, 1.0)`` for the cells that are not 0.
+    """
+    cells = pairs.select(row, column)
+    values = values_of(cells, column, most)
+    if values is None:
+        return cells.where(F.col(column).isNotNull()).distinct().withColumn("value", F.lit(1.0))
+    wide = cells.groupBy(row).pivot(column, values).agg(F.max(F.lit(1.0))) if values else cells.select(row).distinct()
+    renamed = wide.select(row, *(F.col(f"`{v}`").alias(f"{prefix}{v}") for v in values))
     return renamed.na.fill(0.0)
 
 

@@ -45,12 +45,12 @@ def keep_filled(df: DataFrame, column: str) -> DataFrame:
 
 
 def fact_rows(machine: DataFrame, loaded_at: str, user: str = "", alarm: str = ALARM) -> DataFrame:
-    """One fact row per record ``(record_id, machine_id, state, data, date)``.
+    """One fact row per record ``(record_id, machine_id, state, data, date)`` that carries a payload.
 
     The fragment is parsed once per row and every measure is picked by name. ``loaded_at`` fills
     the audit columns, so a rerun of the same load writes the same rows.
     """
-    parsed = machine.withColumn("_fields", fields(F.col("data")))
+    parsed = keep_filled(machine, "data").withColumn("_fields", fields(F.col("data")))
     return parsed.select(
         F.col("record_id").alias("machine_record_id"),
         "machine_id",

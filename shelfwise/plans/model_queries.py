@@ -16,7 +16,6 @@ from shelfwise.functions.scalars import fold_of, in_sample, r6
 from shelfwise.operators import blocks, evaluate as ev, factor, features as feat, models, recommend, relational as rel, text as tx
 from shelfwise.operators.telemetry import measure_columns
 from shelfwise.plans.registry import TARGET, query
-from shelfwise.plans.relational_queries import SIZES
 from shelfwise.plans.telemetry_queries import facts
 from shelfwise.plans.text_queries import MIN_DOCUMENTS, TOKENS
 from shelfwise.session import durable
@@ -148,13 +147,82 @@ def linreg(t):
     """,
 )
 def naive_bayes(t):
-    labels = t.labels.select("doc_id", F.col("quality").alias("label"))
-    rows = rel.keep_keys(tx.tokenize(t.documents.select("doc_id", "text")), labels, "doc_id")
-    counts = tx.count_terms(tx.document_terms(rows, "doc_id"), "doc_id", MIN_DOCUMENTS)
+    counts, labels = _labelled_counts(t)
     table = models.bayes_log_probabilities(counts, labels, "doc_id", [0, 1])
     return table.select("label", "term", r6(F.col("logprob")).alias("logprob"))
 
 
+def _labelled_counts(t):
+    """Term counts of the labelled documents, without rare terms, and the labels."""
+    labels = t.labels.select("doc_id", F.col("quality").cast("long").alias("label"))
+    rows = rel.keep_keys(tx.tokenize(t.documents.select("doc_id", "text")), labels, "doc_id")
+    return tx.count_terms(tx.document_terms(rows, "doc_id"), "doc_id", MIN_DOCUMENTS), labels
+
+
+_BAYES = f"""
+    WITH {TOKENS}, c AS (SELECT doc_id, term, count(*) AS n FROM tok WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1, 2),
+    v AS (SELECT term FROM c GROUP BY term HAVING count(*) >= {MIN_DOCUMENTS}),
+    y AS (SELECT doc_id, CAST(quality AS bigint) AS label, md5(CAST(doc_id AS varchar)) < 'b333' AS train FROM labels),
+    x AS (SELECT term, sum(CASE WHEN label = 0 THEN n ELSE 0 END) c0, sum(CASE WHEN label = 1 THEN n ELSE 0 END) c1
+          FROM c JOIN v USING (term) JOIN y USING (doc_id) WHERE train GROUP BY 1),
+    z AS (SELECT sum(c0) AS s0, sum(c1) AS s1, count(*) AS w FROM x),
+    lp AS (SELECT term, ln((c0 + 1) / (s0 + w)) AS l0, ln((c1 + 1) / (s1 + w)) AS l1 FROM x, z),
+    prior AS (SELECT ln(count(*) FILTER (WHERE label = 0) / count(*)) AS p0, ln(count(*) FILTER (WHERE label = 1) / count(*)) AS p1 FROM y WHERE train),
+    s AS (SELECT y.doc_id, y.label, coalesce(sum(n * l0), 0) AS s0, coalesce(sum(n * l1), 0) AS s1
+          FROM y LEFT JOIN c ON c.doc_id = y.doc_id LEFT JOIN lp ON lp.term = c.term WHERE NOT train GROUP BY 1, 2),
+    p AS (SELECT doc_id, label, CASE WHEN s1 + p1 > s0 + p0 THEN 1 ELSE 0 END::bigint AS prediction FROM s, prior)
+    """
+
+
+def _bayes_predictions(t):
+    """Fitted on seven tenths of the labelled documents, applied to the rest."""
+    counts, labels = _labelled_counts(t)
+    counts = durable(counts)
+    train, test = models.split(labels, "doc_id")
+    table = models.bayes_log_probabilities(counts, train, "doc_id", [0, 1])
+    return models.bayes_predict(counts, test, table, models.log_priors(train, [0, 1]), "doc_id")
+
+
+@query("naive_bayes_predict", f"{_BAYES} SELECT doc_id, label, prediction FROM p")
+def naive_bayes_predict(t):
+    return _bayes_predictions(t)
+
+
+@query(
+    "naive_bayes_metrics",
+    f"""{_BAYES},
+    a AS (SELECT avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS accuracy FROM p),
+    l AS (SELECT label FROM p UNION SELECT prediction FROM p),
+    m AS (SELECT l.label, count(*) FILTER (WHERE p.label = l.label) AS support, count(*) FILTER (WHERE p.prediction = l.label) AS predicted,
+                 count(*) FILTER (WHERE p.label = l.label AND p.prediction = l.label) AS hit
+          FROM l JOIN p ON p.label = l.label OR p.prediction = l.label GROUP BY 1)
+    SELECT label, support, round(accuracy, 6) AS accuracy, round(hit / nullif(support, 0), 6) AS recall,
+           round(hit / nullif(predicted, 0), 6) AS "precision", round(2 * hit / (support + predicted), 6) AS f1 FROM m, a
+    """,
+)
+def naive_bayes_metrics(t):
+    return _rounded_metrics(durable(_bayes_predictions(t)))
+
+
+def _rounded_metrics(scored):
+    return ev.class_metrics(scored).select("label", "support", *(r6(F.col(c)).alias(c) for c in ("accuracy", "recall", "precision", "f1")))
+
+
+@query("linreg_history")
+def linreg_history(t):
+    """The objective at each iteration of the price regression fitted by steps; the first row is the start."""
+    model = models.estimator("linreg", maxIter=30, regParam=0.01, solver="l-bfgs").fit(_prices(t).select("features", "label"))
+    found = models.linear_summary(model)
+    rows = [(k, float(x), found["iterations"], float(found["rmse"]), float(found["r2"])) for k, x in enumerate(found["objective"])]
+    return t.spark.createDataFrame(rows, "iteration long, objective double, iterations long, rmse double, r2 double")
+
+
+@query("rf_metrics")
+def rf_metrics(t):
+    """Held-out quality of the alarm classifier."""
+    return _rounded_metrics(durable(rf_classify(t)))
+
+
 @query("rf_classify")
 def rf_classify(t):
     rows = feat.assemble(facts(t), measure_columns()).select(
@@ -342,13 +410,11 @@ def pca(t):
 
 def _size_spectrum(t):
     """Singular values of the user-by-size purchase matrix, its columns and its squared weight."""
-    sizes = t.part.select(F.col("p_partkey").alias("i"), "p_size")
-    bought = rel.purchases(t.orders, t.lineitem).join(sizes, "i")
-    wide = rel.indicator_pivot(bought, "u", "p_size", SIZES, "size_")
-    vectors = wide.select("u", array_to_vector(F.array(*wide.columns[1:])).alias("v"))
-    found = factor.vector_svd(vectors, "u", "v", len(SIZES))
-    total = wide.select(sum((F.col(c) * F.col(c) for c in wide.columns[2:]), F.col(wide.columns[1]) ** 2).alias("e")).agg(F.sum("e")).first()[0]
-    return found.s, len(SIZES), total
+    sizes = t.part.select(F.col("p_partkey").alias("i"), F.col("p_size").cast("long").alias("col"))
+    bought = rel.purchases(t.orders, t.lineitem).join(sizes, "i").select(F.col("u").alias("row"), "col").where("col IS NOT NULL").distinct()
+    bought = durable(bought)
+    width, total = bought.agg(F.countDistinct("col"), F.count(F.lit(1))).first()
+    return factor.pair_svd(bought, width).s, width, total
 
 
 @query("svd_energy")

@@ -12,7 +12,6 @@ from shelfwise.sources.tables import latest_by_time
 from shelfwise.sources.text import as_json, parse_delimited, parse_json
 
 UI = "ui AS (SELECT DISTINCT o_custkey u, l_partkey i FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"
-SIZES = range(1, 51)
 
 
 def _ui(t):
@@ -198,14 +197,15 @@ def explode_items(t):
 
 @query(
     "user_item_pivot",
-    "SELECT o_custkey AS u, "
-    + ", ".join(f"max(CASE WHEN p_size = {s} THEN 1.0 ELSE 0.0 END)::double AS size_{s}" for s in SIZES)
-    + " FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1",
+    """
+    SELECT * FROM (PIVOT (SELECT o_custkey AS u, 'size_' || p_size AS c, 1.0::double AS w FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+      JOIN part ON p_partkey = l_partkey) ON c USING coalesce(max(w), 0.0) GROUP BY u)
+    """,
 )
 def user_item_pivot(t):
     sizes = t.part.select(F.col("p_partkey").alias("i"), "p_size")
     bought = rel.purchases(t.orders, t.lineitem).select("u", "i").join(sizes, "i")
-    return rel.indicator_pivot(bought, "u", "p_size", SIZES, "size_")
+    return rel.indicator_pivot(bought, "u", "p_size", "size_")
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import arrays
 from shelfwise.functions.scalars import r6
 from shelfwise.operators import features as feat
-from shelfwise.operators import recommend, relational as rel, similarity as sim
+from shelfwise.operators import neighbours, recommend, relational as rel, similarity as sim
 from shelfwise.plans.registry import TARGET, query
 from shelfwise.plans.relational_queries import UI
 from shelfwise.session import durable
@@ -146,6 +146,22 @@ def item_item_cosine(t):
     return sim.item_cosine(pairs, rel.items_of(pairs, TARGET)).withColumn("score", r6(F.col("score")))
 
 
+@query(
+    "item_neighbours",
+    f"""
+    WITH {UI}, n AS (SELECT i, count(*) n FROM ui GROUP BY 1),
+    s AS (SELECT a.i AS item_id, b.i AS neighbour_id, count(*) AS n FROM ui a JOIN ui b ON a.u = b.u AND a.i <> b.i GROUP BY 1, 2),
+    c AS (SELECT item_id, neighbour_id, s.n / sqrt(na.n * nb.n) AS score FROM s JOIN n na ON na.i = item_id JOIN n nb ON nb.i = neighbour_id)
+    SELECT item_id, rank, neighbour_id, round(score, 6) AS score FROM (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, neighbour_id) AS rank FROM c) WHERE rank <= 10
+    """,
+)
+def item_neighbours(t):
+    """The ten nearest items of every item."""
+    found = neighbours.item_neighbours(_ui(t), 10)
+    return found.select(F.col("a").alias("item_id"), "rank", F.col("b").alias("neighbour_id"), r6(F.col("score")).alias("score"))
+
+
 @query("corated_cosine", f"WITH {CORATED} SELECT a, b, round(score, 6) AS score FROM c")
 def corated_cosine(t):
     weighted = durable(rel.ratings(t.orders, t.lineitem))

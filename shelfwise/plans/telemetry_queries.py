@@ -12,7 +12,8 @@ ALARM_LOAD = 60
 
 
 def machine_records(t):
-    """Events in the shape of machine records, with the payload as an XML fragment.
+    """Events in the shape of machine records, with the payload as an XML fragment. An event
+    without properties gives a record without one.
 
     Purchases carry their speed twice (the last one counts), views carry the text ``null`` and
     signups an empty load, so every rule for odd values is met. An alarm raises the load by ``ALARM_LOAD``, so the state
@@ -54,7 +55,7 @@ _ABSENT = [c for c in tel.measure_columns() if not c.endswith(("mainshaft_speed"
       {", ".join(f"0.0::double AS {c}" for c in _ABSENT)},
       strftime(ts, '%Y-%m-%d %H:%M:%S') AS machine_record_date, '' AS dwd_insert_user, '{LOADED_AT}' AS dwd_insert_time,
       '' AS dwd_modify_user, '{LOADED_AT}' AS dwd_modify_time, strftime(ts, '%Y%m%d') AS etldate
-    FROM events
+    FROM events WHERE event_type = 'signup' OR json_extract_string(props, '$.k') IS NOT NULL
     """,
 )
 def telemetry_parse(t):

@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import r6
 from shelfwise.operators import features as feat
 from shelfwise.operators import text as tx
 from shelfwise.plans.registry import query
-from shelfwise.session import durable
+from shelfwise.session import durable, scratch_root
+from shelfwise.sources import text
 
 TOKENS = r"tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\s')) AS term FROM documents)"
 MIN_DOCUMENTS = 5
 
 
+_COMMON = f"""
+    WITH {TOKENS} SELECT term, n FROM (
+      SELECT term, n, row_number() OVER (ORDER BY n DESC, term) AS k FROM (SELECT term, count(*) AS n FROM tok GROUP BY term)) WHERE k > 20
+    """
+
+
 def _tokens(t):
     return tx.tokenize(t.documents.select("doc_id", "text")).drop("text")
 
@@ -45,17 +54,22 @@ def regex_tokenize(t):
 
 @query(
     "stopwords",
-    f"""
-    WITH {TOKENS.replace(" AS (", " AS MATERIALIZED (", 1)}, c AS MATERIALIZED (SELECT term, count(*) AS n FROM tok GROUP BY term),
-    common AS MATERIALIZED (SELECT term FROM c ORDER BY n DESC, term LIMIT 20)
-    SELECT c.term, c.n FROM c ANTI JOIN common ON c.term = common.term
-    """,
+    _COMMON,
 )
 def stopwords(t):
     counts = durable(tx.term_counts(tx.terms(_tokens(t))))
     return counts.join(tx.most_frequent(counts, 20).select("term"), "term", "left_anti")
 
 
+@query("stopwords_file", _COMMON)
+def stopwords_file(t):
+    """As ``stopwords``, with the words kept in a text file, a word a line."""
+    counts = durable(tx.term_counts(tx.terms(_tokens(t))))
+    path = f"{scratch_root(t.spark)}/stopwords-{uuid.uuid4().hex}"
+    tx.most_frequent(counts, 20).select("term").coalesce(1).write.text(path)
+    return counts.join(text.read_words(t.spark, path), "term", "left_anti")
+
+
 @query(
     "ngrams",
     r"""

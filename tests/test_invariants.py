@@ -107,8 +107,10 @@ def test_values_outside_a_closed_list_fail(spark):
     assert feat.dummies(odd.where("id <> 2"), ["id"], "kind", ["a"], strict=True).count() == 2
     with pytest.raises(Exception, match="value outside the list: new"):
         feat.dummies(odd, ["id"], "kind", ["a"], strict=True).collect()
-    with pytest.raises(Exception, match="value outside the list: new"):
-        rel.indicator_pivot(odd, "id", "kind", ["a"], "is_").collect()
+    wide = rel.indicator_pivot(odd, "id", "kind", "is_")
+    assert wide.columns == ["id", "is_a", "is_new"] and sorted(map(tuple, wide.collect())) == [(1, 1.0, 0.0), (2, 0.0, 1.0), (3, 0.0, 0.0)]
+    long = rel.indicator_pivot(odd, "id", "kind", "is_", most=1)
+    assert sorted(map(tuple, long.collect())) == [(1, "a", 1.0), (2, "new", 1.0)]
     rows = spark.createDataFrame([(k, Vectors.dense(float(k))) for k in range(5)], ["id", "features"])
     with pytest.raises(ValueError, match="more than 4 values"):
         feat.index_categories(rows, "features", 4, expected=[0])

@@ -13,7 +13,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from shelfwise.functions.arrays import cosine, dot
-from shelfwise.operators import blocks, factor, ids, krylov, models, recommend, relational as rel, similarity as sim
+from shelfwise.operators import blocks, factor, ids, krylov, models, neighbours, recommend, relational as rel, similarity as sim
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -234,6 +234,35 @@ def test_pca_centres_a_sparse_table(spark):
     assert np.allclose(np.abs(got), np.abs(m @ vt[:4].T), atol=1e-5)
 
 
+@pytest.mark.parametrize("heavy, k", [(1000, 3), (6, 3), (0, 4), (6, 40)])
+def test_item_neighbours(spark, heavy, k):
+    """Users lighter and heavier than the bound, one of whom holds a third of all pairs, against all pairs."""
+    draw = random.Random(4)
+    pairs = {(u, draw.randrange(60)) for u in range(40) for _ in range(draw.randint(1, 9))} | {(99, i) for i in range(0, 150)} | {(98, i) for i in range(100, 130)}
+    users = defaultdict(set)
+    for u, i in pairs:
+        users[i].add(u)
+    want = []
+    for a in users:
+        scored = sorted((-len(users[a] & users[b]) / math.sqrt(len(users[a]) * len(users[b])), b) for b in users if a != b and users[a] & users[b])
+        want += [(a, n, b, pytest.approx(-s)) for n, (s, b) in enumerate(scored[:k], 1)]
+    df = spark.createDataFrame(sorted(pairs) + sorted(pairs)[:5], "u long, i long")
+    found = neighbours.item_neighbours(df, k, heavy).orderBy("a", "rank").collect()
+    assert [tuple(r) for r in found] == sorted(want, key=lambda r: (r[0], r[1]))
+
+
+def test_bayes_prediction_ties_and_unknown_terms(spark):
+    counts = spark.createDataFrame([(1, "x", 2), (2, "y", 1), (3, "x", 1), (3, "y", 1), (4, "z", 5), (6, "y", 3)], "doc_id long, term string, n long")
+    train = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, label long")
+    table = models.bayes_log_probabilities(counts, train, "doc_id", [0, 1])
+    test = spark.createDataFrame([(3, 1), (4, 1), (5, 0), (6, 1)], "doc_id long, label long")
+    rows = models.bayes_predict(counts, test, table, models.log_priors(train, [0, 1]), "doc_id")
+    x, y = {0: math.log(3 / 4), 1: math.log(1 / 3)}, {0: math.log(1 / 4), 1: math.log(2 / 3)}
+    both = int(x[1] + y[1] > x[0] + y[0])
+    assert sorted(map(tuple, rows.collect())) == [(3, 1, both), (4, 1, 0), (5, 0, 0), (6, 1, 1)]
+    assert models.log_priors(train.where("label = 0"), [0, 1]) == {0: 0.0, 1: -math.inf}
+
+
 def test_energy_rank():
     s = np.array([3.0, 2.0, 1.0])
     assert factor.rank_for(s, 14.0, 0.9) == 2
@@ -263,6 +292,27 @@ def test_unseen_top(spark, table, pairs, block, strip, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("n_items, with_seen", [(3000, True), (3000, False), (7, True), (0, False)])
+def test_best_items_by_bounds(spark, n_items, with_seen):
+    """Clustered factors of very different lengths: the rows of scoring everything, from a fraction of the products."""
+    rng = np.random.default_rng(6)
+    hubs = rng.normal(size=(12, 6))
+    items = (hubs[rng.integers(12, size=n_items)] + 0.1 * rng.normal(size=(n_items, 6))) * np.exp(rng.normal(size=(n_items, 1)))
+    users = hubs[rng.integers(12, size=120)] + 0.1 * rng.normal(size=(120, 6))
+    users[3] = 0
+    if n_items:
+        items[5 % n_items] = 0
+    seen = [(u, int(i)) for u in range(120) for i in rng.integers(n_items, size=20)] if with_seen else []
+    frames = [spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(m)], f"{c} long, v array<double>") for m, c in ((users, "u"), (items, "i"))]
+    found, products = blocks.best_items(*frames, 5, spark.createDataFrame(seen, "u long, i long") if with_seen else None)
+    scores, want, held = np.round(users @ items.T, 6) + 0.0, [], set(seen)
+    for u in range(120):
+        best = sorted((-scores[u, i], i) for i in range(n_items) if (u, i) not in held)[:5]
+        want += [(u, k, i, -s + 0.0) for k, (s, i) in enumerate(best, 1)]
+    assert sorted((r[0], r[1], r[2], r[3] + 0.0) for r in found.collect()) == want
+    assert products < 0.5 * 120 * n_items if n_items > 100 else products == 120 * n_items
+
+
 def test_als_ids_beyond_int(spark, pairs):
     rng = random.Random(2)
     weights = {p: float(rng.randint(1, 5)) for p in pairs}
