@@ -31,29 +31,42 @@ LEAST_DOCUMENTS = 3
 TOP_TERMS = 200
 CHUNK = 1 << 16
 BLOCK = 64
-HELD = 400_000  # counters of one task before they are passed on
+HELD = 800_000  # counters of one task before they are passed on
 TERMS_AT_ONCE = 1 << 20
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")  # in lower-cased UTF-8: ASCII letters and everything beyond ASCII
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
+def _terms(text: bytes):
+    """The terms of a text; those of a long one in lists of ``TERMS_AT_ONCE``."""
+    if len(text) <= TERMS_AT_ONCE:
+        yield _TERM.findall(text)
+        return
+    found = _TERM.finditer(text)
+    while part := [m[0] for m in islice(found, TERMS_AT_ONCE)]:
+        yield part
+
+
 def _count(batches):
     groups, held = {}, 0
 
     def passed_on():
-        rows = [(lang, source, term, n, spread[term]) for (lang, source), (total, spread) in groups.items() for term, n in total.items()]
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
+        columns = [[], [], [], [], []]
+        for (lang, source), (total, spread) in groups.items():
+            numbers = np.fromiter(total.values(), np.int64, len(total)), np.fromiter(map(spread.__getitem__, total), np.int64, len(total))
+            for column, part in zip(columns, (pa.repeat(lang, len(total)), pa.repeat(source, len(total)), pa.array(total, pa.binary()), *map(pa.array, numbers)), strict=True):
+                column.append(part)
         groups.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "source", "term", "n", "d"])
+        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array([], k), *c]) for c, k in zip(columns, kinds, strict=True)], ["lang", "source", "term", "n", "d"])
 
     for batch in batches:
         for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             total, spread = groups.setdefault((lang, source), (Counter(), Counter()))
             before = len(total)
-            found, seen = _TERM.finditer(text.translate(_LOWER)), set()
-            while part := [m[0] for m in islice(found, TERMS_AT_ONCE)]:
+            seen = set()
+            for part in _terms(text.translate(_LOWER)):
                 total.update(part)
                 seen.update(part)
             spread.update(seen)
@@ -78,7 +91,8 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
 def ordered_vocabulary(counts: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """``(lang, term, place, in_lang)``: the kept terms of each language, numbered so that equal columns lie together."""
     kept = counts.groupBy("lang", "term").agg(
-        F.sum("d").alias("d"), F.sum("n").alias("in_lang"), F.count(F.lit(1)).alias("sources"), F.min("source").alias("least"), F.max("source").alias("most")
+        F.sum("d").alias("d"), F.sum("n").alias("in_lang"), F.count(F.lit(1)).alias("sources"),
+        F.min(F.xxhash64("source")).alias("least"), F.max(F.xxhash64("source")).alias("most"),
     ).where(F.col("d") >= least)
     kept = durable(kept.select(F.struct("lang", "sources", "least", "most", "in_lang", "term").alias("key")))
     numbered = durable(dense_index(kept, "key", "place").select("key.lang", "key.term", "key.in_lang", "place"))
@@ -177,7 +191,7 @@ def divergence(
     """
     counts = durable(term_counts(docs, lang, source, text))
     vocabulary = ordered_vocabulary(counts, least)
-    entries = durable(counts.join(vocabulary, ["lang", "term"]).select("lang", "source", "term", "n", "place", "in_lang"))
+    entries = durable(counts.join(vocabulary.hint("shuffle_hash"), ["lang", "term"]).select("lang", "source", "term", "n", "place", "in_lang"))
     names = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source")))).distinct()
     totals = entries.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = durable(names.join(totals, ["lang", "source"], "left").select("lang", "source", F.coalesce("total", F.lit(0).cast("long")).alias("total")))
