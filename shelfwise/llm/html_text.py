@@ -20,6 +20,7 @@ import json
 import re
 
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,7 +126,8 @@ def walk(page: str):
                     if last == tag:
                         break
         elif tag in VOID:
-            yield ("break",)
+            if tag in ("br", "hr"):
+                yield ("break",)
         elif tag:
             shuts = SELF_CLOSING.get(tag, set()) | ({"p"} if tag in BLOCK else set())
             for depth in range(len(stack) - 1, -1, -1):
@@ -175,7 +177,7 @@ def tree_of(page: str) -> list:
 
 
 def _stamped(tree: list) -> list:
-    page = hashlib.md5(json.dumps(tree).encode()).hexdigest()[:12]
+    page = hashlib.md5(dumped(tree).encode()).hexdigest()[:12]
     waiting = [tree]
     while waiting:
         node = waiting.pop()
@@ -185,39 +187,92 @@ def _stamped(tree: list) -> list:
     return tree
 
 
-def _folded(node: Node) -> list:
-    kids: list[list] = []
-    for kid in map(_folded, node.kids):
-        if kids and kids[-1][0] == kid[0]:
-            kids[-1] = merge(kids[-1], kid, fold=True)
+def dumped(tree: list) -> str:
+    """A tree as JSON of any depth: its nodes in page order, each behind its depth."""
+    out, waiting = [], [(0, tree)]
+    while waiting:
+        depth, node = waiting.pop()
+        out.append([depth, *node[:4], node[5]])
+        waiting += [(depth + 1, kid) for kid in reversed(node[4])]
+    return json.dumps(out, separators=(",", ":"))
+
+
+def loaded(text: str) -> list:
+    path: list[list] = []
+    for depth, label, pages, digest, varies, seen in json.loads(text):
+        node = [label, pages, digest, varies, [], seen]
+        del path[depth:]
+        if path:
+            path[-1][4].append(node)
+        path.append(node)
+    return path[0]
+
+
+def _folded(root: Node) -> list:
+    """The tree with neighbouring siblings of one label joined; the open nodes are a list, not calls."""
+    open_nodes, kids = [(root, iter(root.kids))], [[]]
+    while True:
+        node, rest = open_nodes[-1]
+        kid = next(rest, None)
+        if kid is not None:
+            open_nodes.append((kid, iter(kid.kids)))
+            kids.append([])
+            continue
+        open_nodes.pop()
+        text = words(" ".join(node.texts))
+        tree = [node.label, 1, hashlib.md5(text.encode()).hexdigest()[:12] if text else "", False, kids.pop(), []]
+        if not open_nodes:
+            return tree
+        if kids[-1] and kids[-1][-1][0] == tree[0]:
+            kids[-1][-1] = merge(kids[-1][-1], tree, fold=True)
         else:
-            kids.append(kid)
-    text = words(" ".join(node.texts))
-    return [node.label, 1, hashlib.md5(text.encode()).hexdigest()[:12] if text else "", False, kids, []]
+            kids[-1].append(tree)
 
 
-def _same(a: list, b: list) -> int:
-    """Simple tree matching: the most nodes that can be paired, parents before children and in order."""
-    if a[0] != b[0]:
-        return 0
-    return 1 + _table(a[4], b[4])[-1][-1]
+class Matching:
+    """Simple tree matching: the most nodes that can be paired, parents before children and in order; each pair of subtrees
+    is worked out once, children first."""
 
+    def __init__(self) -> None:
+        self.known: dict[tuple[int, int], int] = {}
 
-def _table(left: list, right: list) -> list[list[int]]:
-    table = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-    for i, a in enumerate(left):
-        for j, b in enumerate(right):
-            table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + _same(a, b))
-    return table
+    def same(self, a: list, b: list) -> int:
+        if a[0] != b[0]:
+            return 0
+        waiting = [(a, b)]
+        while waiting:
+            x, y = waiting[-1]
+            if (id(x), id(y)) in self.known:
+                waiting.pop()
+                continue
+            missing = [(p, q) for p in x[4] for q in y[4] if p[0] == q[0] and (id(p), id(q)) not in self.known]
+            if missing:
+                waiting += missing
+            else:
+                waiting.pop()
+                self.known[id(x), id(y)] = 1 + self.table(x[4], y[4])[-1][-1]
+        return self.known[id(a), id(b)]
+
+    def table(self, left: list, right: list) -> list[list[int]]:
+        table = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+        for i, a in enumerate(left):
+            for j, b in enumerate(right):
+                table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + self.same(a, b))
+        return table
 
 
 def _aligned(left: list, right: list):
-    """Pairs of matched children and single children, in an order both sides allow."""
-    if [k[0] for k in left] == [k[0] for k in right]:
-        return list(zip(left, right, strict=True))
-    table, i, j, out = _table(left, right), len(left), len(right), []
+    """Pairs of matched children and single children, in an order both sides allow; equal ends are matched as they are."""
+    names = [k[0] for k in left], [k[0] for k in right]
+    most = min(map(len, names))
+    head = next((k for k in range(most) if names[0][k] != names[1][k]), most)
+    tail = next((k for k in range(most - head) if names[0][-1 - k] != names[1][-1 - k]), most - head)
+    ends = list(zip(left[:head], right[:head], strict=True)), list(zip(left[len(left) - tail :], right[len(right) - tail :], strict=True))
+    left, right = left[head : len(left) - tail], right[head : len(right) - tail]
+    matching, out = Matching(), []
+    table, i, j = matching.table(left, right), len(left), len(right)
     while i or j:
-        pair = _same(left[i - 1], right[j - 1]) if i and j else 0
+        pair = matching.same(left[i - 1], right[j - 1]) if i and j else 0
         if pair and table[i][j] == table[i - 1][j - 1] + pair:
             i, j = i - 1, j - 1
             out.append((left[i], right[j]))
@@ -227,40 +282,52 @@ def _aligned(left: list, right: list):
         else:
             j -= 1
             out.append((None, right[j]))
-    return out[::-1]
+    return [*ends[0], *out[::-1], *ends[1]]
 
 
 def merge(a: list, b: list, fold: bool = False) -> list:
     """Two trees with one root label as one. ``fold`` joins siblings of one page, whose texts form one slot."""
-    kids = [merge(x, y, fold) if x and y else (x or y) for x, y in _aligned(a[4], b[4])]
-    if fold:
-        text = hashlib.md5((a[2] + b[2]).encode()).hexdigest()[:12] if a[2] or b[2] else ""
-        return [a[0], 1, text, False, kids, []]
-    varies = a[3] or b[3] or a[2] != b[2]
-    return [a[0], a[1] + b[1], a[2], varies, kids, [] if varies else sorted({*a[5], *b[5]})[:LEAST_PAGES]]
+    top: list = [None]
+    waiting = [(a, b, top, 0)]
+    while waiting:
+        x, y, place, at = waiting.pop()
+        kids: list = []
+        for p, q in _aligned(x[4], y[4]):
+            if p and q:
+                waiting.append((p, q, kids, len(kids)))
+            kids.append(p or q)
+        if fold:
+            text = hashlib.md5((x[2] + y[2]).encode()).hexdigest()[:12] if x[2] or y[2] else ""
+            place[at] = [x[0], 1, text, False, kids, []]
+        else:
+            varies = x[3] or y[3] or x[2] != y[2]
+            place[at] = [x[0], x[1] + y[1], x[2], varies, kids, [] if varies else sorted({*x[5], *y[5]})[:LEAST_PAGES]]
+    return top[0]
 
 
-def template_paths(tree: list, least: int = LEAST_PAGES) -> set[str]:
-    """Paths of slots that are template wherever the path leads: same text on all of at least ``least`` different pages."""
-    constant: dict[str, bool] = {}
+def step(path: int, label: str) -> int:
+    """The number of the path one label further down; a path is as long as its number however deep it leads."""
+    return xxhash.xxh3_64_intdigest(f"{path}/{label}")
+
 
-    def visit(node: list, path: str) -> None:
-        path = f"{path}/{node[0]}"
+def template_paths(tree: list, least: int = LEAST_PAGES) -> set[int]:
+    """Paths of slots that are template wherever the path leads: same text on all of at least ``least`` different pages."""
+    constant: dict[int, bool] = {}
+    waiting = [(tree, step(0, tree[0]))]
+    while waiting:
+        node, path = waiting.pop()
         if node[2] or node[3]:
             constant[path] = constant.get(path, True) and not node[3] and len(node[5]) >= least
-        for kid in node[4]:
-            visit(kid, path)
-
-    visit(tree, "")
+        waiting += [(kid, step(path, kid[0])) for kid in node[4]]
     return {path for path, same in constant.items() if same}
 
 
-def main_text(page: str, template: set[str] = frozenset()) -> str:
+def main_text(page: str, template: set[int] = frozenset()) -> str:
     """The page's article: blocks in page order, one to a line, white space inside a block as one space."""
     blocks: list[str] = []
     marked: list[str] = []
     held: list[str] = []
-    skip, articles, path = 0, 0, ["/#"]
+    skip, articles, path = 0, 0, [step(0, "#")]
 
     def flush() -> None:
         text = words("".join(held))
@@ -274,7 +341,7 @@ def main_text(page: str, template: set[str] = frozenset()) -> str:
             if event[1] in BLOCK:
                 flush()
             skip += bool(skip or event[2])
-            path.append(f"{path[-1]}/{event[1]}{'!' * event[2]}")
+            path.append(step(path[-1], event[1] + "!" * event[2]))
             if event[1] in ("article", "main"):
                 articles += 1
                 found = found or not skip
@@ -296,7 +363,7 @@ def _merged(trees) -> str:
     whole = None
     for tree in trees:
         whole = tree if whole is None else merge(whole, tree)
-    return json.dumps(whole, separators=(",", ":"))
+    return dumped(whole)
 
 
 def induce(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
@@ -316,7 +383,7 @@ def induce(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
         )
 
     def together(table: pa.Table) -> pa.Table:
-        tree = _merged(map(json.loads, table["tree"].to_pylist()))
+        tree = _merged(map(loaded, table["tree"].to_pylist()))
         return pa.table({n: table[n][:1] if n != "tree" else pa.array([tree]) for n in table.column_names})
 
     rows = pages.select(host_of(F.col(url)).alias("host"), F.coalesce(F.col(page).cast("string"), F.lit("")).alias("html"))
@@ -335,7 +402,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
 
     Null or empty html gives an empty text; a null url stays null and its page shares the wrapper of pages without a
     host. Repeated rows are repeated. Text is decoded once; broken markup is closed where the next element or the end
-    of the page requires it.
+    of the page requires it. Trees
+    of any depth are walked without recursion.
     """
     trees = durable(induce(pages, url, page))
     if (trees.agg(F.sum(F.length("tree"))).first()[0] or 0) <= BROADCAST_BYTES:
@@ -346,14 +414,14 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     ).join(trees, "host", "left")
 
     def read(batches):
-        paths: dict[str | None, set[str]] = {None: set()}
+        paths: dict[str | None, set[int]] = {None: set()}
         for batch in batches:
             texts = []
             for body, tree in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if tree not in paths:
                     if len(paths) > 10_000:
                         paths = {None: set()}
-                    paths[tree] = template_paths(json.loads(tree))
+                    paths[tree] = template_paths(loaded(tree))
                 texts.append(main_text(body, paths[tree]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

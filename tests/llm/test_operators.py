@@ -536,7 +536,7 @@ def test_copies_of_a_page_make_no_template(spark):
 def test_tree_matching_keeps_order():
     a, b = html_text.tree_of("<ul><li>1</li></ul><p>x</p><table></table>"), html_text.tree_of("<p>y</p><ul></ul><table><tr></tr></table>")
     merged = html_text.merge(a, b)
-    assert [k[0] for k in merged[4]].count("table") == 1 and merged[1] == 2 and html_text._same(a, b) == 3
+    assert [k[0] for k in merged[4]].count("table") == 1 and merged[1] == 2 and html_text.Matching().same(a, b) == 3
 
 
 def test_random_values_glued_to_prose():
