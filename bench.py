@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from shelfwise.plans.catalog import QUERIES
@@ -17,6 +18,7 @@ HEADLINE = [
     "interactions", "copurchase_top10", "group_stats", "topk_per_group", "id_mapping", "user_item_sets", "user_item_pivot",
     "similar_users", "cross_target", "item_item_cosine", "rec_neighbourhood", "rec_content_top5", "product_features",
     "tokenize", "ngrams", "tfidf", "telemetry_parse", "pearson", "linreg", "naive_bayes", "rf_classify", "kmeans",
+    "rec_svd_items", "rec_unseen_per_user", "item_neighbours",
 ]
 
 
@@ -28,7 +30,8 @@ def run(spark, name: str, folder: str) -> float:
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = local_session(os.environ.get("BENCH_CPUS", "8"), "shelfwise-bench")
+    shared = tempfile.mkdtemp(prefix="shelfwise-bench-")
+    spark = local_session(os.environ.get("BENCH_CPUS", "8"), "shelfwise-bench", spark__checkpoint__dir=shared)
     seconds = {}
     for name in HEADLINE:
         run(spark, name, folder)

@@ -57,8 +57,3 @@ def jaccard_multiset(a: Column, b: Column) -> Column:
         lambda acc, v: acc + F.least(times(a, v), times(b, v)),
     )
     return F.try_divide(shared.cast("double"), (F.size(a) + F.size(b)).cast("double"))
-
-
-def membership(all_values: Column, held: Column) -> Column:
-    """0/1 array saying which of ``all_values`` occur in ``held``; for short value lists."""
-    return F.transform(all_values, lambda v: F.array_contains(held, v).cast("double"))

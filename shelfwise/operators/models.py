@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -68,11 +68,6 @@ def predictions(scored: DataFrame, key: str, label: str = "label") -> DataFrame:
     return scored.select(F.col(key).alias("id"), F.col(label).cast("double").alias("label"), "prediction")
 
 
-def indexed_pipeline(stage: Estimator, *before: Estimator) -> Pipeline:
-    """Preparation stages and a model as one pipeline."""
-    return Pipeline(stages=[*before, stage])
-
-
 def rules(model: Model) -> str:
     """Printed rules of a fitted tree."""
     return model.toDebugString

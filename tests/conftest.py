@@ -13,6 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from shelfwise.session import local_session
 
-    session = local_session(8, "shelfwise-tests", spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")))
+    folders = {name: str(tmp_path_factory.mktemp(name)) for name in ("warehouse", "checkpoint")}
+    session = local_session(8, "shelfwise-tests", spark__sql__warehouse__dir=folders["warehouse"], spark__checkpoint__dir=folders["checkpoint"])
     yield session
     session.stop()

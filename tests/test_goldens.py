@@ -33,7 +33,6 @@ def test_vector_measures(spark):
     assert one(spark, arrays.jaccard_multiset(a, b)) == pytest.approx(0.25)
     assert one(spark, arrays.jaccard(a, b)) == pytest.approx(1 / 3)
     assert one(spark, arrays.jaccard_multiset(array(1, 1, 2), array(1, 1, 1, 3))) == pytest.approx(2 / 7)
-    assert one(spark, arrays.membership(array(1, 2, 3), array(2))) == [0.0, 1.0, 0.0]
 
 
 def test_pivot(spark):

@@ -221,8 +221,6 @@ def test_tree_rules_and_splits(spark):
     assert "If (feature 0 <=" in models.rules(model)
     train, test = models.split(df, "id")
     assert train.count() + test.count() == 60 and scored.count() == test.count() and train.intersect(test).count() == 0
-    pipeline = models.indexed_pipeline(models.estimator("linreg"))
-    assert pipeline.fit(df).transform(df).count() == 60
 
 
 def test_cluster_and_topic_details(spark):

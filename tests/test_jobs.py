@@ -152,7 +152,6 @@ def test_dense_index_equals_dense_rank(spark, values, parts):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "k long").repartition(parts)
     want = {v: n for n, v in enumerate(sorted(set(values)))}
     assert {r["k"]: r["ix"] for r in ids.dense_index(df, "k", "ix").collect()} == want
-    assert {r["k"]: r["ix"] for r in ids.dense_index_window(df, "k", "ix").collect()} == want
 
 
 def test_dense_index_of_text(spark):
