@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     DCT,
-    IndexToString,
     MaxAbsScaler,
     MinMaxScaler,
     Normalizer,
@@ -23,7 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.arrays import doubles
+from shelfwise.operators.ids import dense_index
 from shelfwise.operators.relational import among
+from shelfwise.session import durable
 
 SCALERS = {"standard": StandardScaler, "minmax": MinMaxScaler, "maxabs": MaxAbsScaler}
 
@@ -77,16 +79,52 @@ def cosine_transform(df: DataFrame, vector: str, inverse: bool = False, out: str
     return DCT(inputCol=vector, outputCol=out, inverse=inverse).transform(df)
 
 
-def index_labels(df: DataFrame, column: str, out: str, order: str = "frequencyDesc", invalid: str = "error") -> DataFrame:
-    """Label index column; equal frequencies go in alphabetical order."""
-    indexer = StringIndexer(inputCol=column, outputCol=out, stringOrderType=order, handleInvalid=invalid)
-    return indexer.fit(df).transform(df)
+def label_table(df: DataFrame, column: str, order: str = "frequencyDesc") -> DataFrame:
+    """``(column, ix)``: the labels numbered by frequency, equal ones alphabetically, or by the alphabet alone.
 
+    The numbers come from a range sort and one count for each partition, so a column may have any number of labels. Null is
+    no label.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    keys = {"frequencyDesc": [-F.col("_n"), F.col(column)], "frequencyAsc": [F.col("_n"), F.col(column)], "alphabetAsc": [F.col(column)]}
+    fields = [c.alias(f"k{n}") for n, c in enumerate(keys[order])]
+    numbered = dense_index(counts.select(F.struct(*fields).alias("_key")), "_key", "_ix")
+    return numbered.select(F.col(f"_key.k{len(fields) - 1}").alias(column), F.col("_ix").cast("double").alias("_ix"))
+
+
+def index_labels(df: DataFrame, column: str, out: str, labels: DataFrame | None = None, order: str = "frequencyDesc", invalid: str = "error") -> DataFrame:
+    """Label index column from a table of labels, by default the column's own.
 
-def labels_back(df: DataFrame, column: str, out: str, labels: Sequence[str] | None = None) -> DataFrame:
-    """Names of label indices, from ``labels`` or from the index column's metadata."""
-    stage = IndexToString(inputCol=column, outputCol=out)
-    return (stage.setLabels(list(labels)) if labels else stage).transform(df)
+    A value that is no label is an error, leaves its row out (``skip``), or gets the number of labels as its index (``keep``).
+    """
+    labels = label_table(df, column, order) if labels is None else labels
+    if invalid == "skip":
+        return df.join(labels.withColumnRenamed("_ix", out), column)
+    other = labels.agg(F.count(F.lit(1)).cast("double")).scalar() if invalid == "keep" else F.raise_error(
+        F.concat(F.lit(f"value of {column} without a label: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))
+    )
+    return df.join(labels, column, "left").withColumn(out, F.when(F.col("_ix").isNotNull(), F.col("_ix")).otherwise(other)).drop("_ix")
+
+
+def labels_back(df: DataFrame, column: str, out: str, labels: DataFrame) -> DataFrame:
+    """Names of label indices from a table of labels, a join."""
+    name = next(c for c in labels.columns if c != "_ix")
+    return df.join(labels.select(F.col(name).alias(out), F.col("_ix").alias(column)), column, "left")
+
+
+def product_rows(part: DataFrame) -> DataFrame:
+    """``(p_partkey, pos, value)``: the entries other than 0 of what ``product_features`` gives, as rows from label tables."""
+    numeric = ["p_retailprice", "p_size"]
+    spreads = {c: part.agg(F.stddev_samp(c)).scalar() for c in numeric}
+    start, found = len(numeric), []
+    for pos, c in enumerate(numeric):
+        found.append(part.select("p_partkey", F.lit(pos).cast("long").alias("pos"), F.coalesce(F.try_divide(F.col(c), spreads[c]), F.lit(0.0)).alias("value")))
+    for c in ("p_brand", "p_type"):
+        labels = durable(label_table(part, c))
+        hot = index_labels(part.select("p_partkey", c), c, "ix", labels, invalid="skip")
+        found.append(hot.select("p_partkey", (F.col("ix").cast("long") + start).alias("pos"), F.lit(1.0).alias("value")))
+        start += labels.count()
+    return reduce(DataFrame.unionByName, found).where("value <> 0")
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], outs: Sequence[str], drop_last: bool = True) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import r6
 from shelfwise.operators.relational import drop_keys, few, items_of, keep_keys, ranked, top_k
-from shelfwise.operators.similarity import corated_cosine, cosine_from_counts, mean_cosine, shared_with_target
+from shelfwise.operators.similarity import corated_cosine, cosine_from_counts, mean_cosine, mean_cosine_rows, shared_with_target
 
 
 def copurchase_users(pairs: DataFrame, target: int, k: int = 10) -> DataFrame:
@@ -28,12 +28,12 @@ def content_top(
 ) -> DataFrame:
     """Items the target's nearest users bought and the target did not, by mean feature cosine.
 
-    ``features`` is ``(i, v)`` with dense arrays.
+    ``features`` is ``(i, pos, value)``, a row for each entry other than 0.
     """
     mine = items_of(pairs, target)
     near = few(copurchase_users(pairs, target, peers).select(F.col("user_id").alias("u")))
     candidates = drop_keys(keep_keys(pairs, near, "u").select("i").distinct(), mine, "i")
-    scored = mean_cosine(keep_keys(features, candidates, "i"), keep_keys(features, mine, "i"), "v")
+    scored = mean_cosine_rows(keep_keys(features, candidates, "i"), keep_keys(features, mine, "i"))
     return _best(scored, "i", "item_id", k)
 
 

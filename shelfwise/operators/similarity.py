@@ -48,6 +48,20 @@ def mean_cosine(candidates: DataFrame, targets: DataFrame, vector: str, score: s
     return scored.where(F.col(score).isNotNull())
 
 
+def mean_cosine_rows(candidates: DataFrame, targets: DataFrame) -> DataFrame:
+    """``(i, score)``: as ``mean_cosine`` for sparse vectors in rows ``(i, pos, value)``; the width of a vector is no matter."""
+
+    def units(rows: DataFrame) -> DataFrame:
+        lengths = rows.groupBy("i").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("length")).where("length > 0")
+        return rows.join(lengths, "i").select("i", "pos", (F.col("value") / F.col("length")).alias("value"))
+
+    held = units(targets)
+    n = held.agg(F.countDistinct("i")).scalar()
+    mean = held.groupBy("pos").agg((F.sum("value") / n).alias("m"))
+    products = units(candidates).join(mean, "pos", "left")
+    return products.groupBy("i").agg(F.sum(F.col("value") * F.coalesce("m", F.lit(0.0))).alias("score"))
+
+
 def mean_item_cosine(pairs: DataFrame, target: int) -> DataFrame:
     """``(i, n_target, score)``: mean cosine of each item to the target user's items.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.scalars import r6
 from shelfwise.operators import features as feat
 from shelfwise.plans.registry import query
+from shelfwise.session import durable
 from shelfwise.plans.similarity_queries import FEATURES
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -40,8 +41,9 @@ def string_index(t):
 
 @query("index_roundtrip", "SELECT p_partkey, p_type FROM part")
 def index_roundtrip(t):
-    indexed = feat.index_labels(t.part, "p_type", "ix").select("p_partkey", "ix")
-    return feat.labels_back(indexed, "ix", "p_type").select("p_partkey", "p_type")
+    labels = durable(feat.label_table(t.part, "p_type"))
+    indexed = feat.index_labels(t.part, "p_type", "ix", labels).select("p_partkey", "ix")
+    return feat.labels_back(indexed, "ix", "p_type", labels).select("p_partkey", "p_type")
 
 
 @query(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfwise.functions import arrays
@@ -217,9 +216,8 @@ def rec_neighbourhood(t):
     """,
 )
 def rec_content_top5(t):
-    table, _ = feat.product_features(t.part)
-    vectors = table.select(F.col("p_partkey").alias("i"), vector_to_array("features").alias("v"))
-    return recommend.content_top(durable(_ui(t)), vectors, TARGET)
+    rows = feat.product_rows(t.part).withColumnRenamed("p_partkey", "i")
+    return recommend.content_top(durable(_ui(t)), rows, TARGET)
 
 
 @query("vector_ops", "SELECT vec_id, embedding[1]::double AS first, embedding[-1]::double AS last, len(embedding) AS dim FROM embeddings")

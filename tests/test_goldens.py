@@ -103,16 +103,27 @@ def test_string_indexer(spark):
     colours = spark.createDataFrame([(k, s) for k, s in enumerate("红黄蓝蓝蓝红")], ["id", "c"])
     indexed = feat.index_labels(colours, "c", "ix")
     assert {r["c"]: r["ix"] for r in indexed.collect()} == {"蓝": 0.0, "红": 1.0, "黄": 2.0}
-    back = feat.labels_back(indexed, "ix", "name")
-    assert all(r["c"] == r["name"] for r in back.collect())
-    assert feat.labels_back(indexed, "ix", "name", ["x", "y", "z"]).where("c = '黄'").first()["name"] == "z"
-
-
-def test_unseen_labels_can_be_kept(spark):
-    from pyspark.ml.feature import StringIndexer
-
-    model = StringIndexer(inputCol="c", outputCol="ix", handleInvalid="keep").fit(spark.createDataFrame([("a",), ("b",)], ["c"]))
-    assert model.transform(spark.createDataFrame([("new",)], ["c"])).first()["ix"] == 2.0
+    back = feat.labels_back(indexed, "ix", "name", feat.label_table(colours, "c"))
+    assert all(r["c"] == r["name"] for r in back.collect()) and back.count() == 6
+    other = spark.createDataFrame([("x", 0.0), ("y", 1.0), ("z", 2.0)], ["name", "_ix"])
+    assert feat.labels_back(indexed, "ix", "other", other).where("c = '黄'").first()["other"] == "z"
+
+
+def test_unseen_labels(spark):
+    labels = feat.label_table(spark.createDataFrame([("a",), ("b",), ("b",), (None,)], ["c"]), "c")
+    assert {r["c"]: r["_ix"] for r in labels.collect()} == {"b": 0.0, "a": 1.0}
+    rows = spark.createDataFrame([("new",), ("a",), (None,)], "c string")
+    assert {r["c"]: r["ix"] for r in feat.index_labels(rows, "c", "ix", labels, invalid="keep").collect()} == {"new": 2.0, "a": 1.0, None: 2.0}
+    assert [tuple(r) for r in feat.index_labels(rows, "c", "ix", labels, invalid="skip").collect()] == [("a", 1.0)]
+    with pytest.raises(Exception, match="without a label"):
+        feat.index_labels(rows, "c", "ix", labels).collect()
+
+
+def test_a_million_labels_stay_in_tables(spark):
+    wide = spark.range(1_000_000).selectExpr("concat('label', id % 900000) AS c")
+    plan = feat.index_labels(wide, "c", "ix")._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan and "SinglePartition" not in plan
+    assert feat.index_labels(wide, "c", "ix").agg({"ix": "max"}).first()[0] == 899_999.0
 
 
 def test_one_hot(spark):

@@ -110,7 +110,7 @@ def test_neighbourhood(spark, pairs, side):
 def test_content_top(spark, table, pairs, side):
     rng = np.random.default_rng(0)
     vec = {i: rng.random(4) for i in range(60)}
-    features = spark.createDataFrame([(i, v.tolist()) for i, v in vec.items()], "i long, v array<double>")
+    features = spark.createDataFrame([(i, p, float(x)) for i, v in vec.items() for p, x in enumerate(v)], "i long, pos long, value double")
     held = sets_of(pairs)
     near = [u for u, _ in sorted(((u, len(held[u] & held[8])) for u in held if u != 8), key=lambda x: (-x[1], x[0]))[:2]]
     candidates = set().union(*(held[u] for u in near)) - held[8]
