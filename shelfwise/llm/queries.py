@@ -125,6 +125,21 @@ LLM_ORACLES = {
           FROM act GROUP BY url, ts)
         SELECT c.page_id, c.url, c.ts, coalesce(n, 0) AS n_active, best.entry, best.since FROM c LEFT JOIN best ON best.url = c.url AND best.ts = c.ts
         """,
+    "op11_suffix_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS nr, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        s AS (SELECT nr, doc_id, p, substring(h, 2 * p + 1, 100) AS w FROM (
+          SELECT nr, doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM d WHERE doc_id IS NOT NULL)),
+        k AS (SELECT nr, p FROM (SELECT nr, p, doc_id, min(doc_id) OVER (PARTITION BY w) AS first FROM s) WHERE first < doc_id),
+        g AS (SELECT nr, p, sum(new) OVER (PARTITION BY nr ORDER BY p) AS run FROM (
+          SELECT nr, p, CASE WHEN p <= lag(p) OVER (PARTITION BY nr ORDER BY p) + 50 THEN 0 ELSE 1 END AS new FROM k)),
+        r AS (SELECT nr, run, min(p) AS a, max(p) + 50 AS b FROM g GROUP BY nr, run),
+        e AS (SELECT nr, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends, sum(b - a)::BIGINT AS removed, count(*) AS spans FROM r GROUP BY nr)
+        SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+          sha256(unhex(CASE WHEN spans IS NULL THEN h ELSE array_to_string(list_transform(range(0, spans + 1), lambda i:
+            substring(h, CASE WHEN i = 0 THEN 1 ELSE 2 * ends[i] + 1 END,
+              CASE WHEN i = spans THEN len(h) ELSE 2 * starts[i + 1] END - CASE WHEN i = 0 THEN 0 ELSE 2 * ends[i] END)), '') END)) AS kept_sha256
+        FROM d LEFT JOIN e USING (nr)
+        """,
     "op12_collocations": r"""
         WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
