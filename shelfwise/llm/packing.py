@@ -7,16 +7,19 @@ no two others fit, the best triple when no three do), many bins at a time; then
 first, again by counts. The result is a list of intervals of ranks for each length. Spark numbers the pieces of each
 length by a range sort and looks every piece's sequence up in its interval.
 
-The tokenizer works on words split at ASCII white space, which its own splitter never crosses, and remembers them.
+The tokenizer works on words split at ASCII white space, which its own splitter never crosses, and remembers them. A
+Python worker keeps that memory from task to task.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from bisect import bisect_right
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,43 +30,60 @@ from shelfwise.session import durable
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
-WORDS_HELD = 400_000
+WORDS_HELD = 300_000  # of each generation
 _SLOT_BITS = 33
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordCodes:
-    """Token ids of whole texts, through a bounded memory of words."""
+    """Token ids of whole texts, through a bounded memory of words in two generations; used words move to the younger."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = re.compile("|".join(map(re.escape, sorted(str(t) for t in self.tokenizer.get_added_tokens_decoder().values()))).lower().encode() or b"(?!)")
         self.held: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def codes(self, text: bytes) -> bytes:
-        """The ids as unsigned 32-bit little-endian numbers."""
-        words, held = text.split(), self.held
+        """The ids as unsigned 32-bit little-endian numbers. The vocabulary is of lower-case text, so ASCII is lowered
+        first, but where a special token's string may stand, which is a token as it is."""
+        if b"<" not in text or not self.special.search(text.lower()):
+            text = text.lower()
+        words, held, old = text.split(), self.held, self.old
         new = [w for w in set(words) if w not in held]
         if len(held) + len(new) > WORDS_HELD:
-            held.clear()
+            self.old, self.held = old, held = held, {}
             new = list(set(words))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
+        unseen = []
+        for word in new:
+            code = old.get(word)
+            if code is None:
+                unseen.append(word)
+            else:
+                held[word] = code
+        for at in range(0, len(unseen), 4096):
+            part = unseen[at : at + 4096]
             found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for word, code in zip(part, found, strict=True):
                 held[word] = array("I", code.ids).tobytes()
         return b"".join(map(held.__getitem__, words))
 
 
+@lru_cache(maxsize=1)
+def word_codes(path: str) -> WordCodes:
+    """The tokenizer of this Python worker, with the words it has met."""
+    return WordCodes(path)
+
+
 def _cut(path: str, capacity: int):
     end = array("I", [END_OF_DOCUMENT]).tobytes()
 
     def cut(batches):
-        words = WordCodes(path)
+        words = word_codes(path)
         for batch in batches:
             out: list[tuple] = []
             texts = batch.column(1).cast(pa.binary())
