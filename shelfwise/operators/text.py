@@ -19,12 +19,16 @@ from pyspark.ml.feature import (
     RegexTokenizer,
     StopWordsRemover,
     Tokenizer,
-    Word2Vec,
 )
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.ids import dense_index
+from shelfwise.operators.krylov import table_svd
 from shelfwise.operators.relational import top_k
+from shelfwise.session import durable
+
+PART = 4096  # tokens of a text whose neighbours are listed at once
 
 
 def tokenize(df: DataFrame, text: str = "text", out: str = "tokens") -> DataFrame:
@@ -125,13 +129,51 @@ def fit_counts(
     return CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=size, minDF=min_documents).fit(df)
 
 
-def embed_documents(
-    df: DataFrame, size: int = 3, least: int = 0, seed: int = 42, tokens: str = "tokens", out: str = "vector"
-) -> DataFrame:
-    """Mean word vector per document; training is spread over the default number of tasks."""
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    stage = Word2Vec(vectorSize=size, minCount=least, seed=seed, numPartitions=tasks, inputCol=tokens, outputCol=out)
-    return stage.fit(df).transform(df)
+def neighbouring_terms(df: DataFrame, window: int = 5, tokens: str = "tokens") -> DataFrame:
+    """``(a, b, n)``: how often two terms stand at most ``window`` places apart, in both directions; long texts are cut into
+    overlapping parts."""
+    held = df.where(F.size(tokens) > 1).select(F.col(tokens).alias("t"))
+    parts = held.select(F.explode(F.expr(f"transform(sequence(0, (size(t) - 1) div {PART}), k -> slice(t, k * {PART} + 1, {PART} + {window}))")).alias("t"))
+    places = f"filter(sequence(1, least(size(t), {PART})), i -> i + d <= size(t))"
+    pairs = parts.select(F.explode(F.expr(
+        f"flatten(transform(sequence(1, {window}), d -> transform({places}, i -> struct(t[i - 1] AS a, t[i + d - 1] AS b))))"
+    )).alias("p")).select("p.*")
+    one_way = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    both = one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
+    return both.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def term_vectors(df: DataFrame, size: int = 3, least: int = 1, window: int = 5, negatives: float = 1.0, tokens: str = "tokens") -> DataFrame:
+    """``(term, v)``: term vectors from the positive pointwise mutual information of terms that stand near each other, less the
+    log of ``negatives``, by the SVD of that table: what word2vec with negative sampling factors implicitly.
+
+    Terms met fewer than ``least`` times have none. The vocabulary is a table throughout.
+    """
+    near = neighbouring_terms(df, window, tokens)
+    common = term_counts(terms(df, tokens)).where(F.col("n") >= least).select("term")
+    near = near.join(common.withColumnRenamed("term", "a"), "a").join(common.withColumnRenamed("term", "b"), "b")
+    near = durable(near)
+    sums = durable(near.groupBy(F.col("a").alias("term")).agg(F.sum("n").alias("n")))
+    numbers = dense_index(sums, "term", "ix")
+    total = sums.agg(F.sum("n")).scalar()
+    sized = durable(numbers.join(sums, "term"))
+    left, right = sized.toDF("a", "row", "na"), sized.toDF("b", "col", "nb")
+    gain = F.log(F.col("n") * total / (F.col("na").cast("double") * F.col("nb"))) - F.log(F.lit(float(negatives)))
+    entries = near.join(left, "a").join(right, "b").select("row", "col", gain.alias("w")).where("w > 0")
+    found = table_svd(entries, size)
+    roots = F.lit([float(x) ** 0.5 for x in found.s])
+    vectors = found.rows.select(F.col("row").alias("ix"), F.zip_with("v", roots, lambda x, r: x / r).alias("v"))
+    return numbers.join(vectors, "ix").select("term", "v")
+
+
+def embed_documents(df: DataFrame, key: str, size: int = 3, tokens: str = "tokens", **options) -> DataFrame:
+    """``(key, pos, value)``: the mean term vector of each document over all its tokens; terms without a vector count as zeros."""
+    vectors = durable(term_vectors(df, size, tokens=tokens, **options))
+    counts = df.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+    parts = counts.join(vectors, "term").select(key, "n", F.posexplode("v").alias("pos", "x")).groupBy(key, "pos").agg(F.sum(F.col("n") * F.col("x")).alias("x"))
+    every = df.select(key, F.size(tokens).alias("length"), F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("pos"))
+    value = F.coalesce(F.try_divide(F.col("x"), F.col("length")), F.lit(0.0))
+    return every.join(parts, [key, "pos"], "left").select(key, F.col("pos").cast("long").alias("pos"), value.alias("value"))
 
 
 def hash_columns(df: DataFrame, columns: Sequence[str], buckets: int = 300, out: str = "hashed") -> DataFrame:

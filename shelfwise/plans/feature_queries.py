@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import r6
-from shelfwise.operators import features as feat
+from shelfwise.operators import features as feat, relational as rel
 from shelfwise.plans.registry import query
 from shelfwise.session import durable
 from shelfwise.plans.similarity_queries import FEATURES
@@ -65,7 +65,7 @@ def one_hot(t):
     "SELECT p_partkey, " + ", ".join(f"CASE WHEN p_type = '{v}' THEN 1.0 ELSE 0.0 END::double AS {v}" for v in TYPES) + " FROM part",
 )
 def dummy_columns(t):
-    return feat.dummies(t.part, ["p_partkey"], "p_type", TYPES, strict=True)
+    return feat.dummies(t.part, ["p_partkey"], "p_type", rel.values_of(t.part, "p_type"))
 
 
 @query(

@@ -113,8 +113,7 @@ def hashing_tf(t):
 
 @query("word2vec")
 def word2vec(t):
-    vectors = tx.embed_documents(_tokens(t))
-    return feat.long_form(vectors, "doc_id", "vector").withColumn("value", r6(F.col("value")))
+    return tx.embed_documents(_tokens(t), "doc_id", least=MIN_DOCUMENTS).withColumn("value", r6(F.col("value")))
 
 
 @query("feature_hasher")

@@ -312,6 +312,33 @@ def test_best_items_by_bounds(spark, n_items, with_seen):
     assert products < 0.5 * 120 * n_items if n_items > 100 else products == 120 * n_items
 
 
+def test_neighbouring_terms_in_parts(spark, monkeypatch):
+    from shelfwise.operators import text as tx
+
+    monkeypatch.setattr(tx, "PART", 7)
+    draw = random.Random(3)
+    rows = [[draw.choice("abcde") for _ in range(draw.randint(0, 40))] for _ in range(30)]
+    want = Counter((r[i], r[j]) for r in rows for i in range(len(r)) for j in range(len(r)) if i != j and abs(i - j) <= 3)
+    df = spark.createDataFrame([(r,) for r in rows], "tokens array<string>")
+    assert {(r["a"], r["b"]): r["n"] for r in tx.neighbouring_terms(df, 3).collect()} == dict(want)
+
+
+def test_term_vectors_find_planted_neighbours(spark):
+    from shelfwise.operators import text as tx
+
+    rng = np.random.default_rng(2)
+    groups = [[f"{g}{k}" for k in range(6)] for g in "xyz"]
+    rows = [(k, rng.choice(groups[k % 3], 30).tolist() + ["rare"] * (k == 0)) for k in range(60)] + [(60, []), (61, ["rare"])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    v = {r["term"]: np.array(r["v"]) for r in tx.term_vectors(df, 3, least=5).collect()}
+    assert set(v) == {t for g in groups for t in g}
+    near = {(a, b): float(v[a] @ v[b] / np.linalg.norm(v[a]) / np.linalg.norm(v[b])) for a in v for b in v if a != b}
+    assert min(s for (a, b), s in near.items() if a[0] == b[0]) > 0.9 > 0.5 > max(s for (a, b), s in near.items() if a[0] != b[0])
+    got = {(r["doc_id"], r["pos"]): r["value"] for r in tx.embed_documents(df, "doc_id", 3, least=5).collect()}
+    assert len(got) == 3 * 62 and got[60, 0] == got[61, 2] == 0.0
+    assert [got[4, p] for p in range(3)] == pytest.approx(np.mean([v[t] for t in rows[4][1]], axis=0).tolist())
+
+
 def test_als_ids_beyond_int(spark, pairs):
     rng = random.Random(2)
     weights = {p: float(rng.randint(1, 5)) for p in pairs}
