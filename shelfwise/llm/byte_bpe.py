@@ -6,6 +6,7 @@ fits the token before it, start again at the root; one path survives at each pos
 set of live paths, each with its place in the trie, the token before it and where it began; a transition also names the
 one token that can end there. A token is emitted once all live paths have it behind them, which is after at most the
 longest token's bytes. States and transitions are made when first needed, and forgotten together when there are too many.
+A Python worker keeps its transducer and the stretches it has met from task to task.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -20,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 STATES_HELD = 150_000
-PIECES_HELD = 250_000
+PIECES_HELD = 250_000  # of each of two generations
+PAIRS_HELD = 1_000_000
 #: White space as the rank files' own library reads ``\\s``.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -96,6 +99,8 @@ class Transducer:
         """Whether BPE of the two tokens' joined bytes is the two tokens."""
         known = self.fitting.get((last, token))
         if known is None:
+            if len(self.fitting) >= PAIRS_HELD:
+                self.fitting.clear()
             known = self.fitting[last, token] = self._fits(last, token)
         return known
 
@@ -145,10 +150,14 @@ class Transducer:
 
     def stream(self, data) -> Iterator[int]:
         """The tokens of one piece, each once every live path has it: after at most the longest token's bytes."""
-        state, ends, sent = self.start, [], 0
+        state, hops, ends, sent = self.start, self.hops, [], 0
         for byte in data:
-            state, token = self.hops[state].get(byte) or self._hop(state, byte)
-            ends.append(token)
+            hop = hops[state].get(byte)
+            if hop is None:
+                hop = self._hop(state, byte)
+                hops = self.hops
+            state = hop[0]
+            ends.append(hop[1])
             if len(ends) % 64 == 0:
                 starts = {len(ends) - back for _, _, back in self.states[state]}
                 while len(starts) > 1:  # step the latest back until all paths meet
@@ -164,15 +173,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        state, hops, ends = self.start, self.hops, []
-        for byte in piece:
-            hop = hops[state].get(byte)
-            if hop is None:
-                hop = self._hop(state, byte)
-                hops = self.hops
-            state = hop[0]
-            ends.append(hop[1])
-        return self._back(ends, len(ends), 0)
+        return list(self.stream(piece))
 
 
 def _lead(byte: int) -> tuple[int, int, int] | None:
@@ -243,6 +244,7 @@ class Codec:
         self.pattern = splitter(pattern)
         self.awkward = regex.compile(f"\\x20(?:[{WHITE}]|$)")
         self.held: dict[str, tuple[int, str, bytes]] = {}
+        self.old: dict[str, tuple[int, str, bytes]] = {}
         self.steps: dict[bytes, dict[int, tuple[bytes, str]]] = {}
 
     def stretches(self, text: str) -> list[str]:
@@ -260,19 +262,28 @@ class Codec:
         return decoder.feed(ids) + decoder.end()
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        stretches, held = self.stretches(text), self.held
+        stretches, held, old = self.stretches(text), self.held, self.old
         new = [s for s in set(stretches) if s not in held]
         if len(held) + len(new) > PIECES_HELD:
-            held.clear()
+            self.old, self.held = old, held = held, {}
             new = list(set(stretches))
         for stretch in new:
-            ids = self.ids(stretch)
-            held[stretch] = (len(ids), " ".join(map(str, ids)), self.decode(ids).encode())
+            known = old.get(stretch)
+            if known is None:
+                ids = self.ids(stretch)
+                known = len(ids), " ".join(map(str, ids)), self.decode(ids).encode()
+            held[stretch] = known
         counts, names, parts = zip(*map(held.__getitem__, stretches), strict=True)
         named = " ".join(names if all(counts) else filter(None, names))
         return sum(counts), hashlib.sha256(named.encode()).hexdigest(), hashlib.sha256(b"".join(parts)).hexdigest()
 
 
+@lru_cache(maxsize=1)
+def codec(path: str, pattern: str) -> Codec:
+    """The codec of this Python worker, with what it has met."""
+    return Codec(path, pattern)
+
+
 def _slim(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
@@ -281,9 +292,9 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     """``(doc_id, ids)`` for every row; a null or empty text has no ids. Repeated rows are encoded each time."""
 
     def run(batches):
-        codec = Codec(path, pattern)
+        own = codec(path, pattern)
         for batch in batches:
-            ids = [codec.ids(t) for t in batch.column(1).to_pylist()]
+            ids = [own.ids(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return _slim(docs, key, text).mapInArrow(run, "doc_id long, ids array<int>")
@@ -293,21 +304,25 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
     """``(doc_id, text)`` from ``(doc_id, ids)``; null ids give an empty text."""
 
     def run(batches):
-        codec = Codec(path, pattern)
+        own = codec(path, pattern)
         for batch in batches:
-            texts = [codec.decode(ids or ()) for ids in batch.column(1).to_pylist()]
+            texts = [own.decode(ids or ()) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: every text encoded, its ids decoded, both digested."""
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: every text encoded, its ids decoded, both digested.
+
+    A null or empty text has no tokens. Repeated rows are coded each time; other columns play no part; an empty table gives
+    an empty result.
+    """
 
     def run(batches):
-        codec = Codec(path, pattern)
+        own = codec(path, pattern)
         for batch in batches:
-            found = [codec.digest(t) for t in batch.column(1).to_pylist()]
+            found = [own.digest(t) for t in batch.column(1).to_pylist()]
             counts, names, texts = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(names, pa.string()), pa.array(texts, pa.string())],
