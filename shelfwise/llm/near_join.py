@@ -1,6 +1,7 @@
 """N-gram Jaccard join: MinHash candidates, Bayesian pruning, exact verification.
 
-1. Texts equal in their words are one node, named by their smallest id, so copies are never compared.
+1. Texts equal in their words are one node, so copies are never compared. Its number is their smallest id, or a hash where
+   that id has several texts.
 2. A node's ``BANDS`` keys of ``ROWS`` MinHash values each put it into buckets; at the threshold a pair shares none of
    them once in about a hundred thousand times. Only buckets of two or more nodes go on, and only their nodes' other
    MinHash values, ``CHECKS`` of them, travel.
@@ -25,7 +26,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.session import durable, release
+from shelfwise.operators.relational import few
+from shelfwise.session import durable, forget, release
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -304,19 +306,28 @@ def near_duplicates(
     ``class_id`` is the smallest id of the documents linked directly or through others, ``n_links`` the number of other
     texts with a Jaccard similarity of at least ``threshold`` over five-word shingles, ``n_copies`` the rows with the same
     words. Null, empty and blank texts are one class without links. A text of fewer than five words is one shingle. A row
-    without an id shares the class of rows with its words; where none has an id its class is null. Rows with one id but
-    different words count as versions of one document. Other columns play no part; an empty table gives an empty result.
+    without an id shares the class of rows with its words; where none has an id its class is null. Of rows with one id but
+    different words each is judged by its own. Other columns play no part; an empty table gives an empty result.
     """
+    return _judged(docs, threshold, tolerance, key, text).drop("name", "kept")
+
+
+def _judged(docs: DataFrame, threshold: float, tolerance: float, key: str, text: str) -> DataFrame:
+    """The rows of ``near_duplicates`` with the digest of their words and whether they stand for their class."""
     words = docs.select(F.col(key).cast("long").alias("doc_id"), plain_words(F.col(text)).alias("words"))
     named = durable(words.select("doc_id", F.unhex(F.md5("words")).alias("name")))
-    names = durable(named.groupBy("name").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_copies")))
+    names = durable(named.groupBy("name").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies")))
+    several = few(names.where("first is not null").groupBy("first").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"))
+    other = -F.shiftrightunsigned(F.xxhash64("name"), 1) - 1
+    names = names.join(several, "first", "left").select("name", "first", "n_copies", F.when(F.col("texts").isNull(), F.col("first")).otherwise(other).alias("node"))
     keyed = words.withColumn("name", F.unhex(F.md5("words")))
-    firsts = names.where("node is not null").select(F.col("node").alias("doc_id"), "name")
+    firsts = names.where("first is not null").select(F.col("first").alias("doc_id"), "name", "node")
     signed = durable(
         keyed.where("doc_id is not null").select("doc_id", "name", "words")
         .mapInArrow(_sign, "doc_id long, name binary, n long, bands array<long>, checks binary")
-        .join(firsts, ["doc_id", "name"], "left_semi").dropDuplicates(["doc_id", "name"]).drop("name").withColumnRenamed("doc_id", "node")
+        .join(firsts, ["doc_id", "name"]).dropDuplicates(["doc_id", "name"]).drop("doc_id", "name")
     )
+    forget(docs.sparkSession)
     return _classes(named, names, keyed, signed, threshold, tolerance)
 
 
@@ -325,23 +336,37 @@ def _classes(named, names, keyed, signed, threshold, tolerance) -> DataFrame:
     weight = F.greatest(F.count(F.lit(1)), F.ceil(F.sum("n") * BLOCK / BLOCK_SHINGLES))
     sizes = groups.join(signed.select("node", "n"), "node").groupBy("component").agg(weight.alias("size"))
     members = durable(groups.join(sizes, "component"))
-    chosen = members.join(names.where("node is not null").select("node", "name"), "node")
+    forget(signed.sparkSession)
+    chosen = members.join(names.where("first is not null").select("node", "first", "name"), "node")
     if members.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
-    texts = keyed.join(chosen, (keyed["doc_id"] == chosen["node"]) & (keyed["name"] == chosen["name"])).select("node", "component", "size", "words")
+    texts = keyed.join(chosen, (keyed["doc_id"] == chosen["first"]) & (keyed["name"] == chosen["name"])).select("node", "component", "size", "words")
     rows = in_block_pairs(texts.dropDuplicates(["node", "words"]), "component", "size")
     rows = rows.withColumn("batch", F.pmod(F.xxhash64("component", "i", "j"), F.lit(_batches(members, BATCH_TEXTS))))
     found = durable(rows.groupBy("batch").applyInArrow(_verify(threshold), "node long, links long, a long, b long"))
+    forget(signed.sparkSession)
     links = found.where("node is not null").groupBy("node").agg(F.sum("links").alias("n_links"))
-    classes = components(found.where("a is not null").select("a", "b"))
+    classes = durable(components(found.where("a is not null").select("a", "b")).join(names.select("node", "first", "name"), "node"))
+    heads = classes.groupBy("component").agg(F.min(F.struct("first", "name")).alias("head"))
+    of_node = classes.join(heads, "component").select("node", "head")
     of_name = (
-        names.join(classes, "node", "left").join(links, "node", "left")
-        .select("name", F.coalesce("component", "node").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_copies")
+        names.join(of_node, "node", "left").join(links, "node", "left")
+        .select("name", F.coalesce("head.first", "first").alias("class_id"), F.coalesce("head.name", "name").alias("head"),
+                F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_copies")
     )
-    return named.join(of_name, "name").select("doc_id", "class_id", "n_links", "n_copies")
+    kept = F.col("doc_id").isNull() | ((F.col("doc_id") == F.col("class_id")) & (F.col("name") == F.col("head")))
+    return named.join(of_name, "name").select("doc_id", "class_id", "n_links", "n_copies", "name", kept.alias("kept"))
+
 
+def drop_near_duplicates(
+    docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that stand for their class, with all their columns.
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stand for their class, with all their columns; a row without an id stays."""
-    gone = near_duplicates(docs, key=key, text=text, **options).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[key].cast("long") == gone["_gone"], "left_anti")
+    Of a class the smallest id stays; where that id has several texts in it, the one whose digest comes first. A text that is
+    like no other stays, whatever other texts its id has. A row without an id stays, and so do rows that repeat both id and
+    words. Null, empty and blank texts are one class. An empty table stays empty.
+    """
+    gone = _judged(docs, threshold, tolerance, key, text).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("name").alias("_gone_name")).distinct()
+    name = F.unhex(F.md5(plain_words(docs[text])))
+    return docs.join(gone, (docs[key].cast("long") == gone["_gone"]) & (name == gone["_gone_name"]), "left_anti")

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.session import forget
+
 SAMPLE_ROWS = 2_000
 DIM = 1 << 16
 THRESHOLD = 0.5
@@ -134,22 +136,18 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit_rows(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model | None:
+def fit_entries(labels: np.ndarray, row: np.ndarray, slot: np.ndarray, share: np.ndarray) -> Model | None:
     """Logistic regression by Adam on all rows but each fifth, calibrated on those; None without both labels."""
-    labels = np.array([r[2] for r in rows], float)
-    held = np.arange(len(rows)) % 5 == 4
+    held = np.arange(len(labels)) % 5 == 4
     if any(len(set(labels[part])) < 2 for part in (held, ~held)):
         return None
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
-    slot = np.concatenate([r[0] for r in rows])
-    share = np.concatenate([r[1] for r in rows])
     parts = [slice(at, at + ENTRIES) for at in range(0, len(row), ENTRIES)]
     weights, bias = np.zeros(2 * DIM), 0.0
     moments = np.zeros((2, 2 * DIM + 1))
     balance = np.where(labels == 1, 0.5 / labels[~held].mean(), 0.5 / (1 - labels[~held].mean()))
 
     def scores() -> np.ndarray:
-        return sum(np.bincount(row[p], weights[slot[p]] * share[p], len(rows)) for p in parts) + bias
+        return sum(np.bincount(row[p], weights[slot[p]] * share[p], len(labels)) for p in parts) + bias
 
     for step in range(1, ROUNDS + 1):
         error = np.where(held, 0, (_sigmoid(scores()) - labels) * balance) / max(1, (~held).sum())
@@ -200,12 +198,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, key:
             )
 
     found = rows.mapInArrow(hashed, "id long, label int, slots array<int>, shares array<float>").toArrow().sort_by("id")
-    columns = [found.column(c).combine_chunks() for c in ("slots", "shares")]
-    offsets = columns[0].offsets.to_numpy() if found.num_rows else np.zeros(1, np.int64)
-    slots, shares = (c.values.to_numpy() if found.num_rows else np.zeros(0) for c in columns)
-    order = np.argsort(np.array([(int(i) * 0x9E3779B97F4A7C15) & (1 << 64) - 1 for i in found["id"].to_pylist()], np.uint64), kind="stable")
-    parts = [(slots[offsets[k] : offsets[k + 1]], shares[offsets[k] : offsets[k + 1]], int(found["label"][int(k)].as_py())) for k in order]
-    return fit_rows(parts)
+    ids = np.array([(int(i) * 0x9E3779B97F4A7C15) & (1 << 64) - 1 for i in found["id"].to_pylist()], np.uint64)
+    found = found.take(pa.array(np.argsort(ids, kind="stable")))
+    labels = found["label"].to_numpy().astype(float)
+    slots, shares = (found[c].combine_chunks() for c in ("slots", "shares"))
+    del found
+    sizes = np.diff(slots.offsets.to_numpy()) if len(labels) else np.zeros(0, np.int64)
+    slot, share = (c.flatten().to_numpy() if len(labels) else np.zeros(0) for c in (slots, shares))
+    del slots, shares
+    model = fit_entries(labels, np.repeat(np.arange(len(labels), dtype=np.int32), sizes), slot, share)
+    del slot, share
+    pa.default_memory_pool().release_unused()
+    forget(docs.sparkSession)
+    return model
 
 
 def verdict(text: bytes, model: Model | None, threshold: float) -> tuple:

@@ -461,6 +461,20 @@ def test_model_on_held_out_rows(spark):
     assert abs(sum(r["quality"] for r in near) / len(near) - sum(r["probability"] for r in near) / len(near)) < 0.1
 
 
+def test_entries_follow_their_rows(spark):
+    docs = spark.createDataFrame([(k, f"a{k % 7} b c" * (k % 3)) for k in range(30)], "doc_id long, text string")
+    labels, caught = spark.createDataFrame([(k, int(k % 7 == 3)) for k in range(30)], "doc_id long, quality int"), []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "fit_entries", lambda *a: caught.append(a))
+        quality.fit(docs, labels)
+    (given, row, slot, share), = caught
+    texts = [(f"a{k % 7} b c" * (k % 3), int(k % 7 == 3)) for k in sorted(range(30), key=lambda k: k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)]
+    assert given.tolist() == [y for _, y in texts]
+    for k, (text, _) in enumerate(texts):
+        slots, shares = quality.sparse(text.encode())
+        assert (slot[row == k] == slots).all() and (share[row == k] == shares).all()
+
+
 def test_quality_awkward(spark):
     assert quality.fit(awkward(spark), spark.createDataFrame([], "doc_id long, quality int")) is None
     rows = quality.judge(awkward(spark), None).collect()
@@ -474,7 +488,7 @@ def test_repeated_ids_do_not_widen_the_sample(spark, monkeypatch):
     rows = [(k % 20, f"text {k % 3} of the id") for k in range(400)]
     labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
     seen = []
-    monkeypatch.setattr(quality, "fit_rows", seen.extend)
+    monkeypatch.setattr(quality, "fit_entries", lambda labels, row, slot, share: seen.extend(labels))
     quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
     assert len(seen) == 20
 
@@ -581,3 +595,13 @@ def test_links_of_few_long_texts_count_once(spark, shingles_of_a_block, monkeypa
 def test_of_an_id_with_two_texts_only_the_copy_goes(spark):
     frame = spark.createDataFrame([(1, "some text"), (2, "some  text"), (2, "a text of its own"), (3, None), (3, "other"), (4, "")], "doc_id long, text string")
     assert many(exact_dedup.drop_duplicates(frame).collect()) == many([(1, "some text"), (2, "a text of its own"), (3, None), (3, "other")])
+
+
+def test_an_id_with_several_texts_loses_only_the_copies(spark):
+    base = " ".join(f"word{k}" for k in range(100))
+    near, other, third = base + " more", " ".join(f"other{k}" for k in range(80)), " ".join(f"third{k}" for k in range(80))
+    docs = spark.createDataFrame([(3, base), (5, near), (5, other), (7, other + " end"), (9, third), (9, base)], "doc_id long, text string")
+    kept = {tuple(r) for r in near_join.drop_near_duplicates(docs).collect()}
+    assert kept == {(3, base), (5, other), (9, third)}
+    found = sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in near_join.near_duplicates(docs).collect())
+    assert found == [(3, 3, 1), (5, 3, 1), (5, 5, 1), (7, 5, 1), (9, 3, 1), (9, 9, 0)]
