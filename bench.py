@@ -18,7 +18,7 @@ HEADLINE = [
     "interactions", "copurchase_top10", "group_stats", "topk_per_group", "id_mapping", "user_item_sets", "user_item_pivot",
     "similar_users", "cross_target", "item_item_cosine", "rec_neighbourhood", "rec_content_top5", "product_features",
     "tokenize", "ngrams", "tfidf", "telemetry_parse", "pearson", "linreg", "naive_bayes", "rf_classify", "kmeans",
-    "rec_svd_items", "rec_unseen_per_user", "item_neighbours",
+    "item_neighbours",
 ]
 
 

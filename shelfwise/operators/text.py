@@ -160,7 +160,7 @@ def term_vectors(df: DataFrame, size: int = 3, least: int = 1, window: int = 5,
     left, right = sized.toDF("a", "row", "na"), sized.toDF("b", "col", "nb")
     gain = F.log(F.col("n") * total / (F.col("na").cast("double") * F.col("nb"))) - F.log(F.lit(float(negatives)))
     entries = near.join(left, "a").join(right, "b").select("row", "col", gain.alias("w")).where("w > 0")
-    found = table_svd(entries, size)
+    found = table_svd(entries, size, tolerance=1e-5)
     roots = F.lit([float(x) ** 0.5 for x in found.s])
     vectors = found.rows.select(F.col("row").alias("ix"), F.zip_with("v", roots, lambda x, r: x / r).alias("v"))
     return numbers.join(vectors, "ix").select("term", "v")

@@ -27,7 +27,7 @@ def _embeddings(t):
 
 def _svd(t):
     """Five factors of the 0/1 user-item matrix."""
-    return factor.pair_svd(rel.order_pairs(t.orders, t.lineitem).select(F.col("u").alias("row"), F.col("i").alias("col")), 5)
+    return factor.pair_svd(rel.order_pairs(t.orders, t.lineitem).select(F.col("u").alias("row"), F.col("i").alias("col")), 5, tolerance=1e-6)
 
 
 def _labelled_text(t):
