@@ -127,19 +127,18 @@ def linear_errors(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def topics(model: LDAModel, words: Sequence[str], top: int = 10) -> DataFrame:
+def topics(model: LDAModel, words: DataFrame, top: int = 10) -> DataFrame:
     """``(topic, rank, term, weight)`` for the heaviest terms of each topic.
 
-    ``words`` is the vocabulary the model was fitted on, bounded by the vectorizer's size.
+    ``words`` is ``(term, ix)``, the places of the vectors the model was fitted on.
     """
-    names = F.array(*(F.lit(w) for w in words))
     described = model.describeTopics(top).select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "t")
     )
-    return described.select(
+    return described.join(words, F.col("t.termIndices") == F.col("ix")).select(
         F.col("topic").cast("long").alias("topic"),
         (F.col("pos") + 1).cast("long").alias("rank"),
-        F.get(names, F.col("t.termIndices")).alias("term"),
+        "term",
         F.col("t.termWeights").alias("weight"),
     )
 

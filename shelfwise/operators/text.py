@@ -20,13 +20,15 @@ from pyspark.ml.feature import (
     StopWordsRemover,
     Tokenizer,
 )
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from shelfwise.operators.ids import dense_index
 from shelfwise.operators.krylov import table_svd
 from shelfwise.operators.relational import top_k
-from shelfwise.session import durable
+from shelfwise.session import durable, release
 
 PART = 4096  # tokens of a text whose neighbours are listed at once
 
@@ -129,6 +131,27 @@ def fit_counts(
     return CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=size, minDF=min_documents).fit(df)
 
 
+def weighted_vectors(df: DataFrame, key: str, common: int = 20, min_documents: int = 1, tokens: str = "tokens", out: str = "features") -> tuple[DataFrame, DataFrame]:
+    """``(key, out)``, a row for each row of ``df`` with its sparse tf-idf vector, and ``(term, ix)``, the vector's places.
+
+    The ``common`` most frequent terms and those of fewer than ``min_documents`` rows are left out. The vocabulary is a
+    table throughout and has no bound. Vectors are written as the fields that Spark ML stores them in, and read back as vectors.
+    """
+    rows = durable(df.select(key, tokens, F.monotonically_increasing_id().alias("_row")))
+    counts = durable(document_terms(rows, "_row", tokens))
+    frequent = most_frequent(counts.groupBy("term").agg(F.sum("n").alias("n")), common).select("term")
+    known = durable(vocabulary(counts.join(frequent, "term", "left_anti"), min_documents))
+    places = dense_index(known, "term", "ix")
+    m, size = rows.count(), known.count()
+    weights = known.join(places, "term").select("term", F.col("ix").cast("int").alias("ix"), F.log((F.lit(m) + 1) / (F.col("df") + 1)).alias("idf"))
+    cells = counts.join(weights, "term").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("ix", (F.col("n") * F.col("idf")).alias("w")))).alias("c"))
+    held = F.coalesce("c", F.array().cast("array<struct<ix:int,w:double>>"))
+    vector = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"), held["ix"].alias("indices"), held["w"].alias("values"))
+    written = durable(rows.select(key, "_row").join(cells, "_row", "left").select(key, vector.alias(out)))
+    release(rows, counts)
+    return df.sparkSession.read.schema(StructType([written.schema[key], StructField(out, VectorUDT())])).parquet(written.scratch_path), places
+
+
 def neighbouring_terms(df: DataFrame, window: int = 5, tokens: str = "tokens") -> DataFrame:
     """``(a, b, n)``: how often two terms stand at most ``window`` places apart, in both directions; long texts are cut into
     overlapping parts."""

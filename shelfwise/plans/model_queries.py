@@ -319,12 +319,9 @@ def silhouette(t):
 def _topic_model(t):
     """Tokens, stop words, counts, inverse document frequency, then topics over every term of enough documents."""
     docs = tx.tokenize_regex(t.documents.select("doc_id", "text"))
-    common = tx.most_frequent(tx.term_counts(tx.terms(docs)), 20)
-    kept = tx.remove_words(docs, [r["term"] for r in common.collect()])
-    vectorizer = tx.fit_counts(kept, min_documents=MIN_DOCUMENTS, tokens="kept", whole=True)
-    weighted = durable(tx.weigh(vectorizer.transform(kept), "counts", "features").select("doc_id", "features"))
+    weighted, words = tx.weighted_vectors(docs, "doc_id", 20, MIN_DOCUMENTS)
     model = models.estimator("lda", k=5, maxIter=10, seed=42, optimizer="online").fit(weighted)
-    return model, vectorizer.vocabulary, weighted
+    return model, words, weighted
 
 
 @query("lda_topics")

@@ -387,3 +387,21 @@ def test_two_level(spark):
 def test_pairs_helper_is_skewed(pairs):
     assert max(Counter(u for u, _ in pairs).values()) == 60
     assert len(list(itertools.chain(pairs))) == len(set(pairs))
+
+
+def test_weighted_vectors_have_no_vocabulary_bound(spark):
+    """As the Spark ML stages give them, a row for each row, repeated ids and texts without terms too."""
+    from shelfwise.operators import text as tx
+
+    texts = [["the", "a", "b", "b"], ["the", "b", "c"], ["the", "a", "d"], [], ["the"], ["the", "c", "a"]]
+    df = spark.createDataFrame(list(zip([1, 2, 3, 4, 5, 5], texts)), "id long, tokens array<string>")
+    vectors, words = tx.weighted_vectors(df, "id", 1, 2)
+    places = {r["ix"]: r["term"] for r in words.collect()}
+    kept = tx.remove_words(df, ["the"])
+    model = tx.fit_counts(kept, min_documents=2, tokens="kept")
+    want = tx.weigh(model.transform(kept), "counts", "w").collect()
+    got = [(r["id"], {places[i]: pytest.approx(x) for i, x in zip(r["features"].indices.tolist(), r["features"].values.tolist())}) for r in vectors.collect()]
+    assert sorted(places.values()) == ["a", "b", "c"] and all(r["features"].size == 3 for r in vectors.collect())
+    for r in want:
+        got.remove((r["id"], {model.vocabulary[i]: x for i, x in zip(r["w"].indices.tolist(), r["w"].values.tolist())}))
+    assert not got
