@@ -312,6 +312,23 @@ def test_best_items_by_bounds(spark, n_items, with_seen):
     assert products < 0.5 * 120 * n_items if n_items > 100 else products == 120 * n_items
 
 
+def test_best_items_in_strips_and_slices_write_no_visits(spark, monkeypatch):
+    """Many strips and slices, equal scores and heavy users; what is written is k rows for each user and slice."""
+    written, keep = [], blocks.durable
+    monkeypatch.setattr(blocks, "durable", lambda df: written.append(keep(df)) or written[-1])
+    monkeypatch.setattr(blocks, "USERS", 60)
+    monkeypatch.setattr(blocks, "ITEMS", 700)
+    rng = np.random.default_rng(5)
+    users, items = rng.normal(size=(200, 4)), np.repeat(rng.normal(size=(1000, 4)), 2, axis=0)
+    seen = {(u, int(i)) for u in range(200) for i in rng.integers(2000, size=1500 if u == 7 else 30)}
+    frames = [spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(m)], f"{c} long, v array<double>") for m, c in ((users, "u"), (items, "i"))]
+    found, _ = blocks.best_items(*frames, 5, spark.createDataFrame(sorted(seen), "u long, i long"))
+    scores = np.round(users @ items.T, 6) + 0.0
+    want = [(u, k, i, -s) for u in range(200) for k, (s, i) in enumerate(sorted((-scores[u, i], i) for i in range(2000) if (u, i) not in seen)[:5], 1)]
+    assert sorted((r[0], r[1], r[2], r[3] + 0.0) for r in found.collect()) == want
+    assert sum(df.count() for df in written) <= 200 + 2000 + 5 * 200 * 3 + 48
+
+
 def test_neighbouring_terms_in_parts(spark, monkeypatch):
     from shelfwise.operators import text as tx
 
