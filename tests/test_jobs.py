@@ -203,6 +203,36 @@ def test_svd_agrees_with_numpy(spark, table, pairs, tile, width, kept, monkeypat
     assert np.allclose(cosines(np.array([got[x] for x in cols])), cosines(low_rank.T), atol=1e-5)
 
 
+def test_svd_passes_on_tile_by_tile(spark, pairs, monkeypatch):
+    """The sums of one tile leave before the next tile is read, and a thin table's row costs one sum, not one for each entry."""
+    monkeypatch.setattr(krylov, "TILE", 40)
+    df = spark.createDataFrame(pairs, "row long, col long").withColumn("w", F.lit(1.0))
+    tiles = krylov._tiles(df, "col", "row", 1, 7).tiles.toArrow()
+    assert tiles.num_rows > 4
+    keys = np.array(sorted({c for _, c in pairs}))
+    factor_block = np.ones((len(keys), 2)).tobytes()
+    joined = krylov.pa.table({**{c: tiles[c] for c in tiles.column_names}, "fkeys": [keys.tobytes()] * tiles.num_rows, "f": [factor_block] * tiles.num_rows})
+    read = []
+
+    def batches():
+        for batch in joined.combine_chunks().to_batches(max_chunksize=2):
+            read.append(batch.num_rows)
+            yield batch
+
+    made = krylov._times(batches())
+    sent = [next(made)]
+    assert sum(read) <= 2 and len(set(sent[0]["block"].to_pylist())) == sent[0].num_rows
+    sent += made
+    assert sum(len(krylov._keys(k)) for b in sent for k in b["keys"].to_pylist()) == len({u for u, _ in pairs})
+
+
+def test_svd_in_blocks_of_few_keys(spark, table, pairs, monkeypatch):
+    monkeypatch.setattr(krylov, "TILE", 40)
+    monkeypatch.setattr(krylov, "KEYS", 4)
+    found = factor.pair_svd(table.select(F.col("u").alias("row"), F.col("i").alias("col")), 4)
+    assert found.s == pytest.approx(np.linalg.svd(matrix_of(pairs)[0])[1][:4], rel=1e-9)
+
+
 def test_svd_of_close_values(spark):
     rng = np.random.default_rng(8)
     left, right = (np.linalg.qr(rng.normal(size=(n, 40)))[0] for n in (90, 70))
