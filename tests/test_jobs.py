@@ -342,6 +342,17 @@ def test_best_items_by_bounds(spark, n_items, with_seen):
     assert products < 0.5 * 120 * n_items if n_items > 100 else products == 120 * n_items
 
 
+def test_neighbours_shuffle_lists_and_not_pairs(spark, table, monkeypatch):
+    """One shuffle by item serves the counts and the ranks; hot items give the same rows."""
+    usual = sorted(neighbours.item_neighbours(table, 5).collect())
+    monkeypatch.setattr(neighbours, "HOT", 3)
+    assert sorted(neighbours.item_neighbours(table, 5).collect()) == usual
+    light = table.select("u", "i").distinct()
+    found, _ = neighbours._shared(light, light.groupBy("i").agg(F.count(F.lit(1)).alias("n")), 8)
+    plan = rel.top_k_per_group(found, "a", 5, F.asc("b"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(a" in plan and plan.count("Exchange hashpartitioning(a") == 1
+
+
 def test_best_items_in_strips_and_slices_write_no_visits(spark, monkeypatch):
     """Many strips and slices, equal scores and heavy users; what is written is k rows for each user and slice."""
     written, keep = [], blocks.durable
