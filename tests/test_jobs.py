@@ -381,6 +381,14 @@ def test_neighbouring_terms_in_parts(spark, monkeypatch):
     assert {(r["a"], r["b"]): r["n"] for r in tx.neighbouring_terms(df, 3).collect()} == dict(want)
 
 
+def test_neighbouring_terms_shuffle_once(spark):
+    from shelfwise.operators import text as tx
+
+    found = tx.neighbouring_terms(spark.createDataFrame([(["a", "b", "a"],)], "tokens array<string>"), 2)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {tuple(r) for r in found.collect()} == {("a", "b", 2), ("b", "a", 2), ("a", "a", 2)}
+
+
 def test_term_vectors_find_planted_neighbours(spark):
     from shelfwise.operators import text as tx
 
