@@ -12,8 +12,10 @@ A Python worker keeps its transducer and the stretches it has met from task to t
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import pyarrow as pa
@@ -39,6 +41,21 @@ def splitter(pattern: str) -> regex.Pattern:
     return regex.compile(inside.replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
 
 
+class State(dict):
+    """A set of live paths and the states made from it so far, by byte. The token that has just ended is that of the path at the root."""
+
+    __slots__ = ("__weakref__", "live", "machine", "size", "token")
+
+    def __init__(self, machine: Transducer, live: tuple):
+        super().__init__()
+        self.machine, self.live, self.token = machine, live, live[-1][1]
+        self.size = len(machine.tokens.get(self.token, b""))
+
+    def __missing__(self, byte: int) -> State:
+        state = self[byte] = self.machine._hop(self.live, byte)
+        return state
+
+
 class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -55,20 +72,21 @@ class Transducer:
             self.token_at[node] = rank
         self.fitting: dict[tuple[int | None, int], bool] = {}
         self.built: dict[int, tuple] = {}
+        self.states: dict[tuple, State] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[tuple, int] = {}
-        self.states: list[tuple] = []
-        self.hops: list[dict[int, tuple[int, int]]] = []
-        self.start = self._number(((0, None, 0),))
-
-    def _number(self, state: tuple) -> int:
-        number = self.numbers.setdefault(state, len(self.states))
-        if number == len(self.states):
-            self.states.append(state)
-            self.hops.append({})
-        return number
+        """Drop all states and transitions; one that is being walked goes on and makes new ones."""
+        for state in self.states.values():
+            state.clear()
+        self.states.clear()
+        self.start = self._state(((0, None, 0),))
+
+    def _state(self, live: tuple) -> State:
+        state = self.states.get(live)
+        if state is None:
+            state = self.states[live] = State(self, live)
+        return state
 
     def _merge(self, data: bytes) -> tuple[list[bytes], list, list]:
         """BPE by its definition, lowest rank first and leftmost among equals: the parts, and what stood at the left
@@ -119,9 +137,9 @@ class Transducer:
                     return False
         return True
 
-    def _hop(self, number: int, byte: int) -> tuple[int, int]:
+    def _hop(self, paths: tuple, byte: int) -> State:
         live, ended = [], None
-        for node, last, back in self.states[number]:
+        for node, last, back in paths:
             child = self.children[node].get(byte)
             if child is None:
                 continue
@@ -134,46 +152,44 @@ class Transducer:
             raise ValueError(f"the vocabulary has no token for byte {byte} here")
         live.append((0, ended, 0))
         state = tuple(live)
-        if len(self.states) >= STATES_HELD and state not in self.numbers:
+        if len(self.states) >= STATES_HELD and state not in self.states:
             self._forget()
-            return self._number(state), ended
-        hop = self.hops[number][byte] = (self._number(state), ended)
-        return hop
+        return self._state(state)
 
-    def _back(self, ends: list[int], at: int, stop: int) -> list[int]:
+    def _back(self, path: list[State], at: int, stop: int) -> list[int]:
         """The tokens between two positions of one path, read from the token that ends at each position."""
         out = []
         while at > stop:
-            out.append(ends[at - 1])
-            at -= len(self.tokens[ends[at - 1]])
+            ended = path[at - 1]
+            out.append(ended.token)
+            at -= ended.size
         return out[::-1]
 
     def stream(self, data) -> Iterator[int]:
         """The tokens of one piece, each once every live path has it: after at most the longest token's bytes."""
-        state, hops, ends, sent = self.start, self.hops, [], 0
+        state, path, sent = self.start, [], 0
         for byte in data:
-            hop = hops[state].get(byte)
-            if hop is None:
-                hop = self._hop(state, byte)
-                hops = self.hops
-            state = hop[0]
-            ends.append(hop[1])
-            if len(ends) % 64 == 0:
-                starts = {len(ends) - back for _, _, back in self.states[state]}
+            state = state[byte]
+            path.append(state)
+            if len(path) % 64 == 0:
+                starts = {len(path) - back for _, _, back in state.live}
                 while len(starts) > 1:  # step the latest back until all paths meet
                     late = max(starts)
                     starts.remove(late)
-                    starts.add(late - len(self.tokens[ends[late - 1]]))
+                    starts.add(late - path[late - 1].size)
                 met = starts.pop()
-                yield from self._back(ends, met, sent)
+                yield from self._back(path, met, sent)
                 sent = max(sent, met)
-        yield from self._back(ends, len(ends), sent)
+        yield from self._back(path, len(path), sent)
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        return list(self.stream(piece))
+        if len(piece) > 64:
+            return list(self.stream(piece))
+        state = self.start
+        return self._back([state := state[byte] for byte in piece], len(piece), 0)
 
 
 def _lead(byte: int) -> tuple[int, int, int] | None:
@@ -227,7 +243,10 @@ class StreamDecoder:
     def feed(self, ids) -> str:
         out = []
         for token in ids:
-            self.held, text = self.steps.get(self.held, {}).get(token) or self._step(token)
+            try:
+                self.held, text = self.steps[self.held][token]
+            except KeyError:
+                self.held, text = self._step(token)
             out.append(text)
         return "".join(out)
 
@@ -243,8 +262,9 @@ class Codec:
         self.machine = Transducer(read_ranks(path))
         self.pattern = splitter(pattern)
         self.awkward = regex.compile(f"\\x20(?:[{WHITE}]|$)")
-        self.held: dict[str, tuple[int, str, bytes]] = {}
-        self.old: dict[str, tuple[int, str, bytes]] = {}
+        self.names = {rank: f"{rank} " for rank in self.machine.tokens}
+        self.held: dict[str, tuple[str, str]] = {}  # by stretch its ids, each with a space behind, and the text they stand for
+        self.old: dict[str, tuple[str, str]] = {}
         self.steps: dict[bytes, dict[int, tuple[bytes, str]]] = {}
 
     def stretches(self, text: str) -> list[str]:
@@ -263,19 +283,19 @@ class Codec:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         stretches, held, old = self.stretches(text), self.held, self.old
-        new = [s for s in set(stretches) if s not in held]
+        new = set(stretches).difference(held)
         if len(held) + len(new) > PIECES_HELD:
             self.old, self.held = old, held = held, {}
-            new = list(set(stretches))
+            new = set(stretches)
         for stretch in new:
             known = old.get(stretch)
             if known is None:
                 ids = self.ids(stretch)
-                known = len(ids), " ".join(map(str, ids)), self.decode(ids).encode()
+                known = "".join([self.names[i] for i in ids]), self.decode(ids)
             held[stretch] = known
-        counts, names, parts = zip(*map(held.__getitem__, stretches), strict=True)
-        named = " ".join(names if all(counts) else filter(None, names))
-        return sum(counts), hashlib.sha256(named.encode()).hexdigest(), hashlib.sha256(b"".join(parts)).hexdigest()
+        found = [held[stretch] for stretch in stretches]
+        named, decoded = "".join([f[0] for f in found]), "".join([f[1] for f in found])
+        return named.count(" "), hashlib.sha256(named[:-1].encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 @lru_cache(maxsize=1)
@@ -284,6 +304,18 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+@contextmanager
+def uncollected():
+    """Without the cyclic collector, which would walk all states again and again; their own links are cut when they are forgotten."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def _slim(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
@@ -294,7 +326,8 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     def run(batches):
         own = codec(path, pattern)
         for batch in batches:
-            ids = [own.ids(t) for t in batch.column(1).to_pylist()]
+            with uncollected():
+                ids = [own.ids(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return _slim(docs, key, text).mapInArrow(run, "doc_id long, ids array<int>")
@@ -306,7 +339,8 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         own = codec(path, pattern)
         for batch in batches:
-            texts = [own.decode(ids or ()) for ids in batch.column(1).to_pylist()]
+            with uncollected():
+                texts = [own.decode(ids or ()) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
@@ -322,7 +356,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
     def run(batches):
         own = codec(path, pattern)
         for batch in batches:
-            found = [own.digest(t) for t in batch.column(1).to_pylist()]
+            with uncollected():
+                found = [own.digest(t) for t in batch.column(1).to_pylist()]
             counts, names, texts = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(names, pa.string()), pa.array(texts, pa.string())],

@@ -1,7 +1,9 @@
 """The ten operators against brute force, and on awkward tables."""
 
+import gc
 import hashlib
 import re
+import weakref
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -605,3 +607,17 @@ def test_an_id_with_several_texts_loses_only_the_copies(spark):
     assert kept == {(3, base), (5, other), (9, third)}
     found = sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in near_join.near_duplicates(docs).collect())
     assert found == [(3, 3, 1), (5, 3, 1), (5, 5, 1), (7, 5, 1), (9, 3, 1), (9, 9, 0)]
+
+
+def test_byte_bpe_forgets_without_the_collector(codec, monkeypatch):
+    """Forgotten states are freed at once, since no cyclic collection runs while texts are coded; a walk that they are taken from goes on."""
+    monkeypatch.setattr(byte_bpe, "STATES_HELD", 40)
+    machine = byte_bpe.Transducer(codec.machine.ranks)
+    text = "Größe und Maß, thenanttio onanonor shthertionhe".encode() * 3
+    with byte_bpe.uncollected():
+        assert not gc.isenabled()
+        first = weakref.ref(machine.start)
+        assert machine.encode(text[:60]) == [machine.ranks[p] for p in machine._merge(text[:60])[0]]
+        assert list(machine.stream(text)) == [machine.ranks[p] for p in machine._merge(text)[0]]
+        assert first() is None and len(machine.states) <= 40
+    assert gc.isenabled()
