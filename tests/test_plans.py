@@ -94,3 +94,10 @@ def test_hot_keys_are_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("name", ["count_vectorizer", "tfidf"])
+def test_document_terms_are_not_sorted(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    assert not re.search(r"(?m)^[ :+\-*()\d]*Sort \[term", text)
