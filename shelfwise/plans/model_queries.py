@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import HashingTF, Tokenizer
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
@@ -18,7 +17,7 @@ from shelfwise.operators.telemetry import measure_columns
 from shelfwise.plans.registry import TARGET, query
 from shelfwise.plans.telemetry_queries import facts
 from shelfwise.plans.text_queries import MIN_DOCUMENTS, TOKENS
-from shelfwise.session import durable
+from shelfwise.session import durable, release
 
 
 def _embeddings(t):
@@ -373,15 +372,21 @@ def als_item_subset(t):
 
 @query("cross_validate")
 def cross_validate(t):
+    """The texts are tokenized and hashed once for all folds and grid points; a fit reads the vectors of its width only."""
     rows = _labelled_text(t).withColumn("fold", fold_of(F.col("doc_id"), 2))
-    tokenizer = Tokenizer(inputCol="text", outputCol="words")
-    hashing = HashingTF(inputCol="words", outputCol="features")
-    model = LogisticRegression(maxIter=10)
-    grid = ParamGridBuilder().addGrid(hashing.numFeatures, [10, 100, 1000]).addGrid(model.regParam, [0.1, 0.01]).build()
-    found = ev.cross_validate(
-        rows, Pipeline(stages=[tokenizer, hashing, model]), grid, MulticlassClassificationEvaluator(), folds=2, fold_column="fold"
-    )
-    return ev.metric_table(t.spark, grid, found.avgMetrics)
+    hashed, hashing, widths = tx.tokenize(rows, out="words"), HashingTF(inputCol="words"), [10, 100, 1000]
+    for width in widths:
+        hashed = hashing.copy({hashing.numFeatures: width, hashing.outputCol: f"features{width}"}).transform(hashed)
+    hashed = durable(hashed.select("label", "fold", *(f"features{width}" for width in widths)))
+    grid, metrics = [], []
+    for width in widths:
+        model = LogisticRegression(maxIter=10)
+        points = ParamGridBuilder().addGrid(model.regParam, [0.1, 0.01]).build()
+        vectors = hashed.select("label", "fold", F.col(f"features{width}").alias("features"))
+        metrics += ev.cross_validate(vectors, model, points, MulticlassClassificationEvaluator(), folds=2, fold_column="fold").avgMetrics
+        grid += [{hashing.numFeatures: width, **point} for point in points]
+    release(hashed)
+    return ev.metric_table(t.spark, grid, metrics)
 
 
 @query("train_val_split")

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from shelfwise.operators import ids, relational as rel
+from shelfwise.operators import evaluate, ids, relational as rel
 from shelfwise.plans.catalog import ORACLES, QUERIES
 from shelfwise.plans.registry import Tables
 
@@ -101,3 +101,11 @@ def test_document_terms_are_not_sorted(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
     assert not re.search(r"(?m)^[ :+\-*()\d]*Sort \[term", text)
+
+
+def test_cross_validation_reads_vectors_only(spark, monkeypatch):
+    """No fit tokenizes texts again."""
+    seen, search = [], evaluate.cross_validate
+    monkeypatch.setattr(evaluate, "cross_validate", lambda df, *args, **named: seen.append(df.columns) or search(df, *args, **named))
+    QUERIES["cross_validate"](spark, SMALL)
+    assert seen == [["label", "fold", "features"]] * 3
