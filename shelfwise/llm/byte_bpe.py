@@ -23,8 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATES_HELD = 150_000
-PIECES_HELD = 250_000  # of each of two generations
+STATES_HELD = 400_000
+PIECES_HELD = 500_000  # of each of two generations
 PAIRS_HELD = 1_000_000
 #: White space as the rank files' own library reads ``\\s``.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
