@@ -4,6 +4,8 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from edge import DOCS, SCHEMA, awkward, empty, many
 
@@ -64,6 +66,47 @@ def test_collisions_of_prints_are_kept_apart():
     assert found == {1: [1, 2, 2], 2: [1, 1, 2], 3: [1, 1, 1]}
 
 
+def thue_morse(n):
+    """Two different words whose polynomials agree modulo 2**64 at every odd base."""
+    first = "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+    return first, first.translate({97: "b", 98: "a"})
+
+
+def test_thue_morse_words_have_one_hash():
+    first, second = (np.frombuffer(w.encode(), np.uint8) for w in thue_morse(1024))
+    for p in collocations._polynomials():
+        hashes = [p.slices(p.of_byte[w], np.array([0]), np.array([1024]))[0] for w in (first, second)]
+        assert hashes[0] == hashes[1]
+
+
+@pytest.mark.parametrize("often, tasks", [((6, 7), 1), ((12, 15), 1), ((12, 15), 5), ((3, 25), 4), ((9, 9), 9)])
+def test_runs_with_equal_fingerprints_are_compared(spark, often, tasks):
+    """Both words and all runs with them collide in all 80 bits, in one block and between blocks."""
+    rows = random_rows(5, 40)
+    for word, n in zip(thue_morse(1024), often, strict=True):
+        rows += [("en", f"x {word} of y, {word}  of\tz")] * n
+    found = collocations.collocations(table(spark, rows).repartition(tasks)).collect()
+    assert many(found) == many(brute(rows))
+
+
+def test_everything_collides(monkeypatch):
+    """All runs of all sizes and languages have one fingerprint and one check; the texts alone tell them apart."""
+    rows = random_rows(7, 30)
+    for name in ("slices", "runs"):
+        monkeypatch.setattr(collocations.Polynomial, name, lambda self, values, a, b, c=0: np.zeros(len(b), np.uint64))
+    monkeypatch.setattr(collocations, "BLOCK_WORDS", 150)
+    batch = pa.RecordBatch.from_arrays([pa.array([lang or "und" for lang, _ in rows]), pa.array([t.encode() for _, t in rows])], ["lang", "text"])
+    blocks = [b.append_column("block", pa.array([k])) for k, b in enumerate(collocations._pack([batch]))]
+    sent = pa.Table.from_batches(collocations._send(3, 3)(blocks))
+    replies = collocations._add_up(10)(sent)
+    spelled = [collocations._spell(3, 1, 3)(pa.Table.from_batches([b]), replies.filter(pc.equal(replies["block"], k))) for k, b in enumerate(blocks)]
+    found = collocations._count(10)(pa.concat_tables(spelled)).to_pylist()
+    counts = Counter((lang or "und", " ".join(words[i : i + k])) for lang, t in rows for piece in re.split(r"[.,;:!?\n]", lower(t))
+                     for words in [piece.split()] for k in (1, 2, 3) for i in range(len(words) - k + 1))
+    assert len(blocks) > 4
+    assert {(r["lang"], r["phrase"].decode()): r["total"] for r in found} == {p: a for p, a in counts.items() if a >= 10}
+
+
 def test_strips_give_the_words_of_the_whole(monkeypatch):
     monkeypatch.setattr(collocations, "STRIP", 16)
     rng = np.random.default_rng(3)
