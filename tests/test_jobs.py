@@ -405,6 +405,31 @@ def test_term_vectors_find_planted_neighbours(spark):
     assert [got[4, p] for p in range(3)] == pytest.approx(np.mean([v[t] for t in rows[4][1]], axis=0).tolist())
 
 
+def test_word2vec_keeps_rare_terms(spark, tmp_path):
+    """Words that occur once have vectors in the query too."""
+    from shelfwise.plans.catalog import QUERIES
+
+    rows = [(k, f"left{k} right{k}") for k in range(8)] + [(8, "alone"), (9, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {(r["doc_id"], r["pos"]): r["value"] for r in QUERIES["word2vec"](spark, str(tmp_path)).collect()}
+    assert len(found) == 30 and any(found[k, p] for k in range(8) for p in range(3)) and not any(found[8, p] for p in range(3))
+
+
+def test_term_vectors_meet_as_numbers(spark, monkeypatch):
+    """Chunks of few tokens and texts over several of them give the counts of whole texts; unknown terms keep their places."""
+    from shelfwise.operators import text as tx
+
+    monkeypatch.setattr(tx, "CHUNK", 9)
+    draw = random.Random(4)
+    rows = [[draw.choice("abcdef") for _ in range(draw.randint(0, 25))] for _ in range(20)]
+    numbers = {t: 7 * k for k, t in enumerate("abcde")}
+    df = spark.createDataFrame([(r,) for r in rows], "tokens array<string>")
+    got = tx.number_tokens(df, spark.createDataFrame(list(numbers.items()), "term string, ix long"))
+    assert sorted(map(str, (r["ids"] for r in got.collect()))) == sorted(str([numbers.get(t) for t in r]) for r in rows if r)
+    want = Counter((numbers[r[i]], numbers[r[j]]) for r in rows for i in range(len(r)) for j in range(len(r)) if 0 < abs(i - j) <= 2 and "f" not in (r[i], r[j]))
+    assert {(r["a"], r["b"]): r["n"] for r in tx.neighbouring_terms(got, 2, "ids").collect()} == dict(want)
+
+
 def test_als_ids_beyond_int(spark, pairs):
     rng = random.Random(2)
     weights = {p: float(rng.randint(1, 5)) for p in pairs}
