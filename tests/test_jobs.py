@@ -226,6 +226,22 @@ def test_svd_passes_on_tile_by_tile(spark, pairs, monkeypatch):
     assert sum(len(krylov._keys(k)) for b in sent for k in b["keys"].to_pylist()) == len({u for u, _ in pairs})
 
 
+@pytest.mark.parametrize("hot", [8, 0, 0.2])
+def test_svd_in_strips(spark, table, pairs, hot, monkeypatch):
+    """Many strips, with no, all and some rows too large for them; entries are laid out once, and no sum of an entry is shuffled."""
+    for name, value in (("TILE", 40), ("KEYS", 4), ("STRIP", 2), ("HOT", hot)):
+        monkeypatch.setattr(krylov, name, value)
+    laid = []
+    monkeypatch.setattr(krylov, "_tiles", lambda *a, f=krylov._tiles: laid.append(a) or f(*a))
+    m, rows, cols = matrix_of(pairs)
+    found = factor.pair_svd(table.select(F.col("u").alias("row"), F.col("i").alias("col")), 4)
+    _, s, vt = np.linalg.svd(m)
+    assert found.s == pytest.approx(s[:4], rel=1e-9) and len(laid) == (0 if hot == 8 else 2)
+    for side, keys, whole in ((found.rows, rows, m @ vt[:4].T), (found.columns, cols, vt[:4].T * s[:4])):
+        got = {r[0]: r[1] for r in side.collect()}
+        assert np.allclose(np.abs([got[x] for x in keys]), np.abs(whole), atol=1e-4) and len(got) == len(keys)
+
+
 def test_svd_in_blocks_of_few_keys(spark, table, pairs, monkeypatch):
     monkeypatch.setattr(krylov, "TILE", 40)
     monkeypatch.setattr(krylov, "KEYS", 4)
