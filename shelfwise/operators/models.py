@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -149,9 +151,78 @@ def mixtures(model: LDAModel, df: DataFrame, key: str) -> DataFrame:
     return model.transform(df).select(key, F.posexplode(shares).alias("topic", "share")).withColumn("topic", F.col("topic").cast("long"))
 
 
-def topic_fit(model: LDAModel, df: DataFrame) -> dict[str, float]:
-    """Log-likelihood and log-perplexity of a corpus under a topic model."""
-    return {"log_likelihood": model.logLikelihood(df), "log_perplexity": model.logPerplexity(df)}
+def _digamma(x: np.ndarray) -> np.ndarray:
+    """Of positive numbers, by recurrence and the asymptotic series."""
+    x, out = np.array(x, np.float64), np.zeros(np.shape(x))
+    while (low := x < 8).any():
+        out[low] -= 1 / x[low]
+        x[low] += 1
+    y = 1 / (x * x)
+    return out + np.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y * (1 / 132 - y * 691 / 32760)))))
+
+
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    """Of positive numbers, by recurrence and the asymptotic series."""
+    x, out = np.array(x, np.float64), np.zeros(np.shape(x))
+    while (low := x < 8).any():
+        out[low] -= np.log(x[low])
+        x[low] += 1
+    y = 1 / (x * x)
+    return out + (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + (1 / 12 - y * (1 / 360 - y * (1 / 1260 - y * (1 / 1680 - y / 1188)))) / x
+
+
+def _expectation(weights: np.ndarray) -> np.ndarray:
+    """The expected logarithms under Dirichlet distributions, one for each row."""
+    return _digamma(weights) - _digamma(weights.sum(axis=-1, keepdims=True))
+
+
+def _bounds(terms, alpha: np.ndarray):
+    """Function adding up the documents' parts of the variational bound, and their counts, in each task.
+
+    ``terms`` is the broadcast expected logarithm of each term's weight (row) in each topic.
+    """
+
+    def bounds(batches):
+        bound = tokens = 0.0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                shares = part.column("shares").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(alpha))
+                ix, n, of = [], [], []
+                for row, v in enumerate(part.column("v")):
+                    w = v["values"].values.to_numpy(zero_copy_only=False)
+                    at = v["indices"].values.to_numpy(zero_copy_only=False) if v["indices"].is_valid else np.arange(len(w))
+                    ix, n, of = [*ix, at[w != 0]], [*n, w[w != 0]], [*of, np.full(np.count_nonzero(w), row)]
+                ix, n, of = (np.concatenate(x) for x in (ix, n, of))
+                counts = np.bincount(of, n, part.num_rows)
+                held = np.bincount(of, minlength=part.num_rows) > 0
+                # Spark gives a document's gamma as shares; it adds up to the prior and the counts
+                gamma = np.where(held[:, None], shares * (alpha.sum() + counts)[:, None], alpha)
+                topics = _expectation(gamma)
+                logs = topics[of] + terms.value[ix]
+                most = logs.max(axis=1) if len(logs) else np.zeros(0)
+                bound += float(n @ (most + np.log(np.exp(logs - most[:, None]).sum(axis=1))))
+                bound += float(((alpha - gamma) * topics + _lgamma(gamma) - _lgamma(alpha)).sum() + (math.lgamma(alpha.sum()) - _lgamma(gamma.sum(axis=1))).sum())
+                tokens += float(counts.sum())
+        yield pa.RecordBatch.from_arrays([pa.array([bound]), pa.array([tokens])], ["bound", "tokens"])
+
+    return bounds
+
+
+def topic_fit(model: LDAModel, df: DataFrame, features: str = "features") -> dict[str, float]:
+    """Log-likelihood and log-perplexity of a corpus under a topic model: the variational bound of Spark ML's own, from the
+    documents' mixtures, for both numbers at once. Spark's methods take the exponential of all the model's numbers for each document.
+    """
+    weights = model.topicsMatrix().toArray().T
+    eta, alpha = float(model._java_obj.getEffectiveTopicConcentration()), np.array(model.estimatedDocConcentration().toArray())
+    logs = _expectation(weights)
+    topics = ((eta - weights) * logs).sum() + _lgamma(weights).sum() - weights.size * math.lgamma(eta)
+    topics += len(weights) * math.lgamma(eta * weights.shape[1]) - _lgamma(weights.sum(axis=1)).sum()
+    terms = df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(logs.T))
+    held = model.transform(df.select(features)).select(vector_to_array("topicDistribution").alias("shares"), F.unwrap_udt(features).alias("v"))
+    bound, tokens = held.mapInArrow(_bounds(terms, alpha), "bound double, tokens double").agg(F.sum("bound"), F.sum("tokens")).first()
+    terms.destroy()
+    return {"log_likelihood": float(topics + bound), "log_perplexity": -float(topics + bound) / tokens if tokens else math.nan}
 
 
 def centres(model: Model, spark: SparkSession) -> DataFrame:

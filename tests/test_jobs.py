@@ -446,6 +446,24 @@ def test_term_vectors_meet_as_numbers(spark, monkeypatch):
     assert {(r["a"], r["b"]): r["n"] for r in tx.neighbouring_terms(got, 2, "ids").collect()} == dict(want)
 
 
+def test_topic_fit_is_that_of_spark(spark):
+    """Both numbers from one pass over the documents, none of Spark's, which take the exponential of the whole model for each."""
+    rng = np.random.default_rng(7)
+    rows = [Vectors.sparse(30, sorted((int(i), float(rng.integers(1, 5)) / 2) for i in rng.choice(30, 6, replace=False))) for _ in range(300)]
+    rows += [Vectors.dense(rng.random(30).tolist()), Vectors.sparse(30, [], []), Vectors.sparse(30, [3], [0.0])]
+    df = spark.createDataFrame([(v,) for v in rows], ["features"])
+    model = models.estimator("lda", k=3, maxIter=5, seed=3, optimizer="online").fit(df)
+    want = model.logLikelihood(df), model.logPerplexity(df)
+
+    class OnePass:
+        def __getattr__(self, name):
+            assert name not in ("logLikelihood", "logPerplexity")
+            return getattr(model, name)
+
+    fit = models.topic_fit(OnePass(), df)
+    assert (fit["log_likelihood"], fit["log_perplexity"]) == pytest.approx(want, rel=1e-4)
+
+
 def test_als_ids_beyond_int(spark, pairs):
     rng = random.Random(2)
     weights = {p: float(rng.randint(1, 5)) for p in pairs}
