@@ -386,6 +386,14 @@ def test_best_items_in_strips_and_slices_write_no_visits(spark, monkeypatch):
     assert sum(df.count() for df in written) <= 200 + 2000 + 5 * 200 * 3 + 48
 
 
+def test_item_neighbours_in_passes(spark, table, monkeypatch):
+    """The lists of some items at a time: what a pass shuffled goes before the next, and the rows are the same."""
+    usual, ended = sorted(neighbours.item_neighbours(table, 5).collect()), []
+    monkeypatch.setattr(neighbours, "PASS", 1000)
+    monkeypatch.setattr(neighbours, "forget", ended.append)
+    assert sorted(neighbours.item_neighbours(table, 5).collect()) == usual and len(ended) > 2
+
+
 def test_neighbouring_terms_in_parts(spark, monkeypatch):
     from shelfwise.operators import text as tx
 
