@@ -472,6 +472,31 @@ def test_topic_fit_is_that_of_spark(spark):
     assert (fit["log_likelihood"], fit["log_perplexity"]) == pytest.approx(want, rel=1e-4)
 
 
+def test_best_items_of_single_precision(spark, monkeypatch):
+    """Factors of single precision are not widened before they are sent or held, and give the scores of their exact products."""
+    rng, kinds = np.random.default_rng(6), set()
+    monkeypatch.setattr(blocks, "ITEMS", 64)
+    monkeypatch.setattr(blocks, "durable", lambda df, f=blocks.durable: kinds.add(df.schema["v"].dataType.simpleString() if "v" in df.columns else None) or f(df))
+    users, items = (rng.normal(size=(n, 8)).astype(np.float32) for n in (40, 200))
+    frames = [spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(m)], f"{c} long, v array<float>") for m, c in ((users, "u"), (items, "i"))]
+    found, _ = blocks.best_items(*frames, 4)
+    scores = np.round(users.astype(float) @ items.astype(float).T, 6)
+    want = [(u, k, i, scores[u, i]) for u in range(40) for k, i in enumerate(np.lexsort((np.arange(200), -scores[u]))[:4].tolist(), 1)]
+    assert sorted(map(tuple, found.collect())) == want and kinds == {"array<float>", None}
+    held = blocks._Slice(np.arange(200), items, blocks.centres(blocks._directions(items.astype(float)), 4), 4)
+    assert held.rows.dtype == np.float32 and held.single is held.rows
+
+
+def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
+    weighted = spark.createDataFrame([(u, i, 1.0 + (u * i) % 3) for u in range(12) for i in range(9) if (u + i) % 2], "u long, i long, w double")
+    made, whole = [], models.ALS
+    monkeypatch.setattr(models, "ALS", lambda **options: made.append(options) or whole(**options))
+    models.Factors(weighted, rounds=1)
+    monkeypatch.setattr(models, "RATINGS", 3)
+    assert models.Factors(weighted, rounds=1).for_users(2).count() == 24
+    assert [(x["numUserBlocks"], x["numItemBlocks"]) for x in made] == [(10, 10), (18, 18)]
+
+
 def test_als_ids_beyond_int(spark, pairs):
     rng = random.Random(2)
     weights = {p: float(rng.randint(1, 5)) for p in pairs}
